@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from millrace.llm.registry import R
 from millrace.plans.registry import Query
 
-MODULES: tuple[str, ...] = ()
+MODULES = ("pairs", "splits", "tokens", "mixture")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    queries: dict[str, Query] = {}
-    sql: dict[str, str] = {}
     for name in MODULES:
-        registry = import_module(f"millrace.llm.{name}").R
-        queries |= registry.queries
-        sql |= registry.sql
-    return queries, sql
+        import_module(f"millrace.llm.{name}")
+    return R.queries, R.sql
