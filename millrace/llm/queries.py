@@ -7,7 +7,7 @@ from importlib import import_module
 from millrace.llm.registry import R
 from millrace.plans.registry import Query
 
-MODULES = ("pairs", "encoding", "splits", "tokens", "mixture")
+MODULES = ("pairs", "encoding", "splits", "canon", "tokens", "mixture")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
