@@ -7,7 +7,7 @@ from importlib import import_module
 from millrace.llm.registry import R
 from millrace.plans.registry import Query
 
-MODULES = ("pairs", "encoding", "overlap", "splits", "canon", "tokens", "mixture")
+MODULES = ("pairs", "encoding", "overlap", "splits", "canon", "tokens", "mixture", "pii")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
