@@ -123,15 +123,16 @@ def candidates(text: str, common: frozenset[str] | set[str]) -> list[Span]:
         out.add(Span(m.start(), m.end(), "email", f"{shape} {dots}"))
     for m in _PHONE.finditer(text):
         n, start, end = _digits(m["n"]), m.start(), m.end("n")
-        start += m["n"][0] == "(" and ")" not in m["n"][:-1]
+        whole = m["n"][:-1] if m["n"].endswith(")") and m["n"].count("(") < m["n"].count(")") else m["n"]
+        start += whole[0] == "(" and whole.count("(") > whole.count(")") or m["n"][0] == "(" and ")" not in m["n"][:-1]
         end -= text[end - 1] == ")" and text.count("(", start, end) < text.count(")", start, end)
-        if 6 <= n <= 16:
+        if 7 <= n <= 16:
             out.add(Span(start, m.end() if m["ext"] else end, "phone", "ext" if m["ext"] else "whole"))
             if m["ext"]:
                 out.add(Span(start, end, "phone", "cut"))
         ends = [g.start() + m.start() for g in re.finditer(r"[ \u00a0](?=\(?\d)", m["n"])]
         for e in ends[-3:]:
-            if 6 <= _digits(text[start:e]) <= 15:
+            if 7 <= _digits(text[start:e]) <= 15:
                 out.add(Span(start, e, "phone", "cut"))
     for name, rx in _ID:
         for m in rx.finditer(text):

@@ -114,7 +114,7 @@ class Maker:
             "Sold @ 2.50/kg at the stand.", "Follow @thelazyladle for more.", "At pot.example/notes you find the chart.", "Look at pan.example for the chart.", f"{self.r.randrange(3, 9)} Lane swimmers ate {self.r.randrange(20, 60)} wraps.", "Use a 12 inch Street-style tortilla.", f"The Old Mill Bakery uses {self.family()} flour.",
             f"{self.family()}’s Golden {self.pick(*_DISH)}", f"{g}’s {self.pick(*_DISH)} with Roasted Roots", f"{self.family()} {self.pick(*_DISH)} {self.pick(*_DISH)}", f"{g} {self.pick(*_DISH)} is a classic.", f"Street {self.pick(*_DISH)} from {self.family()}", f"{self.pick(*_DISH)} / {self.family()} {self.pick(*_DISH)}",
             f"In Corran Bridge the dish is served with {self.pick('salt', 'butter')}.", "See table 12, row 7 and 8.", f"Cooks in {self.r.choice(_TOWNS)} fry it first.", "Heat to 180 °C / 350 °F / gas 4.", f"Thanks to {g} for the tip.", f"Invoice {self.digits('99999999')} was paid.", f"Golden {self.family()} {self.pick(*_DISH)} ({self.family()} Style)",
-            f"{self.family()} {self.family()} {self.pick(*_DISH)}", f"{self.digits('999')} g {self.pick('salt', 'butter')}, {self.digits('99')} ml water", f"Saffron Sunday with {g} bread.", "P.S. Mine froze well.", f"- {self.digits('9')} {self.family()} {self.pick('leaves', 'roots')}",
+            f"{self.family()} {self.family()} {self.pick(*_DISH)}", f"{self.digits('999')} g {self.pick('salt', 'butter')}, {self.digits('99')} ml water", f"Saffron Sunday with {g} bread.", "P.S. Mine froze well.", f"Size of apron {self.pick('M', 'L', 'S')}. {self.pick('For', 'From', 'With', 'And', 'Write', 'Call', 'Add')} more of it.", f"The best is grade {self.pick('A', 'B')}. {self.pick('For', 'Old', 'Salt', 'Bread')} comes next.", f"- {self.digits('9')} {self.family()} {self.pick('leaves', 'roots')}",
         )
 
     def text(self) -> tuple[str, list[tuple[int, int, str]]]:
