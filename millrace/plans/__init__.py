@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.plans.registry import Query
 
-MODULES = ("packed", "snapshots")
+MODULES = ("packed", "snapshots", "relational", "ranking")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
