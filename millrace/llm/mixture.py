@@ -21,11 +21,12 @@ def quality(text: str) -> Column:
     return F.greatest(F.lit(0.05), F.coalesce(plain / F.length(text), F.lit(0.0)))
 
 
-def _sized(docs: DataFrame, key: str, source: str, text: str, weight: Column | None, path: str, tokenizer: str) -> DataFrame:
+def _sized(docs: DataFrame, names: DataFrame, key: str, source: str, text: str, weight: Column | None, path: str, tokenizer: str) -> DataFrame:
     """Documents with tokens, and at: 1 - u^(1/w), which sorts as the exponential key -ln(u)/w does."""
     w = quality(text) if weight is None else weight
     at = 1 - F.pow(unit_hash(F.col(key), F.xxhash64(text), F.lit(SEED)), 1 / w)
-    return docs.select(F.col(key).alias("k"), F.col(source).alias("source"), token_count(text, path, tokenizer).alias("n_tokens"), at.alias("at")).where("n_tokens > 0")
+    kept = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), F.col(text).alias("text"), at.alias("at")).join(names, "source", "left_semi")
+    return kept.select("k", "source", token_count("text", path, tokenizer).alias("n_tokens"), "at").where("n_tokens > 0")
 
 
 def mixture(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *, weight: Column | None = None, total: int | None = None, path: str = TOKENIZERS, tokenizer: str = "byte_bpe_50k") -> tuple[DataFrame, DataFrame]:
@@ -42,7 +43,7 @@ def mixture(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: st
         raise ValueError(f"more than {MAX_SOURCES} target sources")
     spark = docs.sparkSession
     names = F.broadcast(targets.select("source").distinct())
-    sized = cut(_sized(docs.join(names.withColumnRenamed("source", "_t"), F.col(source) == F.col("_t"), "left_semi"), key, source, text, weight, path, tokenizer))
+    sized = cut(_sized(docs, names, key, source, text, weight, path, tokenizer))
     supply = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     there = [(r["source"], r["target_share"], r["max_repeats"]) for r in plan_rows if supply.get(r["source"]) and r["target_share"] > 0 and r["max_repeats"] > 0]
     whole = sum(t for _, t, _ in there) or 1.0

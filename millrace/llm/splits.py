@@ -34,10 +34,12 @@ def tied_groups(df: DataFrame, key: str, ties: dict[str, Column]) -> DataFrame:
 
     Rows are tied by an equal non-null value of any tie, directly or through others. The keys are linked rather than the rows, so a
     value shared by a third of all rows is one node, added up before the shuffle. A row without ties is a group of its own; its
-    _group is its key.
+    _group is its key. Columns of df that are called _group, _size, _node, n or _t<number> are left out. A null key is the key of no
+    group but takes part in one; the smallest key that is there names it.
     """
     names = sorted(ties)
-    tagged = df.select("*", *[F.when(ties[n].isNotNull(), F.concat(F.lit(f"{i}:"), ties[n].cast("string"))).alias(f"_t{i}") for i, n in enumerate(names)])
+    reserved = {"_node", "_group", "_size", "n", *[f"_t{i}" for i in range(len(names))]}
+    tagged = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in reserved or c == key], *[F.when(ties[n].isNotNull(), F.concat(F.lit(f"{i}:"), ties[n].cast("string"))).alias(f"_t{i}") for i, n in enumerate(names)])
     columns = [f"_t{i}" for i in range(len(names))]
     links = None
     for c in columns[1:]:
@@ -156,7 +158,8 @@ def grouped_split(df: DataFrame, key: str, ties: dict[str, Column], targets: Dat
     the result depends on neither order nor partitions. A group larger than every quota goes to the split with most room.
     """
     spark = df.sparkSession
-    grouped = cut(tied_groups(df.select(key, *dict.fromkeys([c for c in df.columns if c != key])), key, ties).select(key, F.col(split).alias("_old"), "_group", "_size"))
+    tied = df.select(F.col(key), F.col(split).alias("_old"), *[ties[t].cast("string").alias(f"_tie{i}") for i, t in enumerate(sorted(ties))])
+    grouped = cut(tied_groups(tied, key, {t: F.col(f"_tie{i}") for i, t in enumerate(sorted(ties))}).select(key, "_old", "_group", "_size"))
     per = grouped.groupBy("_group", "_old").agg(F.count("*").alias("n"), F.max("_size").alias("_size"))
     ordered = F.struct(F.when(F.col("_old").isNull(), 0).otherwise(F.col("n")).alias("n"), F.col("_old").alias("label"))
     least = per.groupBy("_group").agg(F.max("_size").alias("_size"), F.max(ordered).alias("_top"))
