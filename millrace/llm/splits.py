@@ -23,7 +23,7 @@ SEED = 4711
 def host(column: str) -> Column:
     """The host of a site name however it is spelled: without scheme, user, port, path, 'www.' and case; blank is null."""
     text = F.regexp_replace(F.lower(F.col(column)), r"^\s+|\s+$", "")
-    bare = F.regexp_replace(F.regexp_replace(text, r"^[a-z][a-z0-9+.\-]*:", ""), r"^/+", "")
+    bare = F.regexp_replace(text, r"^(?:[a-z][a-z0-9+.\-]*:)?/+", "")
     name = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"[/?#\\].*$", ""), r"^[^@]*@", ""), r"(:\d*)?\.?$", "")
     out = F.regexp_replace(name, r"^(?:www\d?\.)+", "")
     return F.when(F.trim(out) != "", F.trim(out))
