@@ -129,3 +129,53 @@ def card(fields: Mapping[str, Column], unknown: str = "unknown") -> Column:
     """A text card: one line 'name: value' per allowed field, null or blank as unknown."""
     lines = [F.concat(F.lit(f"{name}: "), F.when(F.trim(F.coalesce(c.cast("string"), F.lit(""))) == "", unknown).otherwise(c.cast("string"))) for name, c in fields.items()]
     return F.concat_ws("\n", *lines)
+
+
+def kept_keys(c: Column, allowed: Mapping[str, object]) -> Column:
+    """A JSON text with the allowed keys only, at every depth; allowed maps a key to True or to the mapping of its own keys.
+
+    Lists keep their members, each reduced alike. A text that is no JSON object gives null. Arrow-batched.
+    """
+    import json
+
+    def cut(value: object, keys: Mapping[str, object]) -> object:
+        if isinstance(value, list):
+            return [cut(v, keys) for v in value]
+        if not isinstance(value, dict):
+            return value
+        return {k: v if keys[k] is True else cut(v, keys[k]) for k, v in value.items() if k in keys}
+
+    def one(text: str | None) -> str | None:
+        try:
+            value = json.loads(text or "")
+        except ValueError:
+            return None
+        return json.dumps(cut(value, allowed), ensure_ascii=False, sort_keys=True) if isinstance(value, dict) else None
+
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.array([one(x) for x in batch.to_pylist()], pa.string())
+
+    return run(c)
+
+
+def verbatim(quote: Column, source: Column) -> Column:
+    """Whether a quote stands in the source as it is but for blanks; null is nowhere."""
+    squeeze = lambda x: F.regexp_replace(x, r"\s+", " ")
+    return F.coalesce(F.contains(squeeze(source), F.trim(squeeze(quote))), F.lit(False))
+
+
+def pattern_digest(patterns: Mapping[str, object]) -> str:
+    """SHA-256 of a set of patterns, whatever their order, to tell which set made a table."""
+    import hashlib
+    import json
+
+    return hashlib.sha256(json.dumps(patterns, ensure_ascii=False, sort_keys=True, separators=(",", ":"), default=list).encode()).hexdigest()
+
+
+def html_text(c: Column) -> Column:
+    """The text of an HTML page: scripts, styles and tags taken out, the common entities read, blanks collapsed."""
+    bare = F.regexp_replace(F.regexp_replace(c, r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"(?s)<[^>]*>", " ")
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        bare = F.replace(bare, F.lit(entity), F.lit(sign))
+    return F.trim(F.regexp_replace(bare, r"\s+", " "))

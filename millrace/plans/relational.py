@@ -88,7 +88,7 @@ def value_shares(spark: SparkSession, root: str) -> DataFrame:
     return L.value_shares(table(spark, root, "recipes_structured"), "diet").select("value", "n", F.round("share", 9).alias("share"))
 
 
-@R.query("fraction_summary", "SELECT l_orderkey, count(*) AS n_lines, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_returned, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) / nullif(sum(CASE WHEN l_quantity > 0 THEN l_quantity END), 0), 9) AS returned_fraction, sum(CASE WHEN l_discount > 0.09 THEN l_quantity END) AS deep_quantity FROM lineitem GROUP BY 1")
+@R.query("fraction_summary", "SELECT l_orderkey, count(*) AS n_lines, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_returned, round(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) / nullif(sum(CASE WHEN l_quantity > 0 THEN l_quantity END), 0), 9) AS returned_fraction, sum(CASE WHEN l_discount > 0.09 THEN l_quantity END) AS deep_quantity FROM lineitem GROUP BY 1")
 def fraction_summary(spark: SparkSession, root: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     return table(spark, root, "lineitem").groupBy("l_orderkey").agg(

@@ -86,3 +86,17 @@ def footer(path: str) -> tuple[dict[str, str], int]:
 
 def read_manifest(path: str) -> dict:
     return json.loads(Path(path).read_text())
+
+
+def read_yaml(path: str) -> object:
+    """A small YAML file on the driver, where a YAML parser is installed."""
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError("no YAML parser is installed") from e
+    return yaml.safe_load(Path(path).read_text())
+
+
+def read_any_parquet(spark: SparkSession, path: str, *, skip_corrupt: bool = False) -> DataFrame:
+    """Parquet; with skip_corrupt unreadable files are left out, which is said by file_digests beside it."""
+    return spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
