@@ -188,7 +188,22 @@ def _ties() -> dict[str, Column]:
     return {"family": F.col("dup_family_id"), "site": host("sourcesite")}
 
 
-@R.query("p6_found")
+_FOUND = r"""
+WITH RECURSIVE sites AS (
+  SELECT recipe_id, dup_family_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(sourcesite), '^\s+|\s+$', '', 'g'),
+    '^(?:[a-z][a-z0-9+.\-]*:)?/+', ''), '[/?#\\].*$', ''), '^[^@]*@', ''), '^(?:www\d?\.)+', '') AS host FROM recipes_structured),
+keys AS (SELECT recipe_id, 'f' || dup_family_id AS k FROM sites WHERE dup_family_id IS NOT NULL
+         UNION ALL SELECT recipe_id, 'h' || trim(host) FROM sites WHERE trim(coalesce(host, '')) <> ''),
+links AS (SELECT DISTINCT a.k AS x, b.k AS y FROM keys a JOIN keys b USING (recipe_id)),
+walk AS (SELECT DISTINCT k AS x, k AS y FROM keys UNION SELECT w.x, l.y FROM walk w JOIN links l ON w.y = l.x),
+roots AS (SELECT x AS k, min(y) AS root FROM walk GROUP BY x),
+members AS (SELECT DISTINCT recipe_id, root FROM keys JOIN roots USING (k))
+SELECT recipe_id, min(recipe_id) OVER (PARTITION BY root) AS group_recipe_id FROM members
+QUALIFY count(*) OVER (PARTITION BY root) > 1
+"""
+
+
+@R.query("p6_found", _FOUND)
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """recipe_id, group_recipe_id of every recipe tied to another."""
     recipes = table(spark, root, "recipes_structured").select("recipe_id", "dup_family_id", "sourcesite")
