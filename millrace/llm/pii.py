@@ -87,6 +87,14 @@ _STREETS = [
     ("de", re.compile(rf"\b(?:{_CAP}\s)?[^\W\d_a-zß-ÿ][^\W\d_]*(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|damm|ufer)\s\d{{1,4}}\s?[a-z]?\b")),
     ("box", re.compile(r"\b(?:P\.?\s?O\.?\s?Box|Postfach|Apartado(?: de correos)?|B\.?P\.?|Boîte postale)\s\d{2,6}")),
 ]
+#: In lower case, one of what any match of the pattern holds.
+_STREET_KEYS = {
+    "en": _TYPES.split("|"), "fr": ("rue", "avenue", "chemin", "allée", "boulevard", "place", "impasse", "quai", "route", "cours"), "es": ("c/", "calle", "avda", "avenida", "plaza", "paseo", "camino"),
+    "de": ("straße", "strasse", "str.", "weg", "gasse", "platz", "allee", "ring", "damm", "ufer"), "box": ("box", "postfach", "apartado", "p.", "bp", "b.p", "boîte"),
+}
+_BRACKET_AT = re.compile(r"[\[({]\s?at\s?[\])}]")
+#: What every telephone number and every shape of an identity number holds.
+_MANY_DIGITS = re.compile(r"\d(?:[\s.\-/()]{0,3}\d){4}|[A-Z]{5}\d{4}")
 _TOWN = rf"{_CAP}(?: {_CAP})?"
 _CODE = r"(?:[A-Z]{1,2}\d{1,2}[A-Z]? \d[A-Z]{2}|(?:- )?\d{4,6})"
 _TAIL = re.compile(rf",? (?:(?P<before>\d{{4,6}} {_TOWN})|(?P<town>{_TOWN}?)(?:,? (?P<code>{_CODE}))?)(?![\w@.+]*\s?[@\[{{(])(?!\w)")
@@ -116,12 +124,16 @@ def _digits(text: str) -> int:
 def candidates(text: str, common: frozenset[str] | set[str]) -> list[Span]:
     """Every span that may be one, whole shapes and their shorter readings."""
     out: set[Span] = set()
-    for m in (m for rx in _EMAILS for m in rx.finditer(text)):
+    # what a shape can't do without is looked for first; most texts lack it
+    low = text.lower()
+    signed, worded = "@" in text or _BRACKET_AT.search(low), " at " in low
+    numbers = _MANY_DIGITS.search(text)
+    for m in (m for rx, there in zip(_EMAILS, (signed, worded), strict=True) if there for m in rx.finditer(text)):
         kind = m["at"].strip()
         shape = "sign" if m["at"] == "@" else "spaced" if kind == "@" else "word" if kind.lower() == "at" else "bracket"
         dots = "dots" if re.fullmatch(r"[\w.\-]+", m["host"]) else "spelled"
         out.add(Span(m.start(), m.end(), "email", f"{shape} {dots}"))
-    for m in _PHONE.finditer(text):
+    for m in _PHONE.finditer(text) if numbers else ():
         n, start, end = _digits(m["n"]), m.start(), m.end("n")
         whole = m["n"][:-1] if m["n"].endswith(")") and m["n"].count("(") < m["n"].count(")") else m["n"]
         start += whole[0] == "(" and whole.count("(") > whole.count(")") or m["n"][0] == "(" and ")" not in m["n"][:-1]
@@ -134,11 +146,11 @@ def candidates(text: str, common: frozenset[str] | set[str]) -> list[Span]:
         for e in ends[-3:]:
             if 7 <= _digits(text[start:e]) <= 15:
                 out.add(Span(start, e, "phone", "cut"))
-    for name, rx in _ID:
+    for name, rx in _ID if numbers else ():
         for m in rx.finditer(text):
             out.add(Span(m.start(), m.end(), "id_number", name))
     for name, rx in _STREETS:
-        for m in rx.finditer(text):
+        for m in rx.finditer(text) if any(k in low for k in _STREET_KEYS[name]) else ():
             out.add(Span(m.start(), m.end(), "address", f"{name} street"))
             for tail in (_TAIL, _TAIL_LONG):
                 t = tail.match(text, m.end())
