@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.registry import R
@@ -64,8 +64,7 @@ def mixture(docs: DataFrame, targets: DataFrame, key: str = "doc_id", source: st
 def mixture_shares(chosen: DataFrame, targets: DataFrame) -> DataFrame:
     """source, target_share, docs, tokens, actual_share: what the mixture reached; sources without documents have 0."""
     got = chosen.groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.col("repeats") * F.col("n_tokens")).alias("tokens"), F.max("repeats").alias("most_repeats"))
-    whole = got.agg(F.sum("tokens").alias("_all"))
-    full = F.broadcast(targets.select("source", "target_share")).join(got, "source", "left").join(F.broadcast(whole), F.lit(True), "left")
+    full = F.broadcast(targets.select("source", "target_share")).join(got, "source", "left").withColumn("_all", F.sum("tokens").over(Window.partitionBy()))  # one row a source
     return full.select("source", "target_share", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), F.coalesce(F.col("tokens") / F.col("_all"), F.lit(0.0)).alias("actual_share"))
 
 
