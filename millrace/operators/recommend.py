@@ -50,7 +50,7 @@ def top_popular(train: DataFrame, users: DataFrame, user: str, item: str, k: int
     most = (per.agg(F.max("_s")).first()[0] or 0) + k
     ranked = popularity(train, item).orderBy(F.desc("score"), item).limit(most)
     listed = F.broadcast(ranked.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("score"), item))))
-    wide = per.join(listed, F.col("_r") <= F.col("_s") + k).select(user, item, "_r")
+    wide = per.select(user, F.explode(F.sequence(F.lit(1), (F.col("_s") + k).cast("int"))).alias("_r")).join(listed, "_r").select(user, item, "_r")
     return wide.join(seen, [user, item], "left_anti").withColumn("rank", F.row_number().over(Window.partitionBy(user).orderBy("_r"))).where(F.col("rank") <= k).select(user, item, "rank")
 
 

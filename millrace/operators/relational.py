@@ -90,7 +90,7 @@ def distinct_with_null(c: str) -> Column:
 def value_shares(df: DataFrame, c: str) -> DataFrame:
     """value, n, share of every value, null being one; the shares sum to 1."""
     counts = df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
-    return counts.join(F.broadcast(counts.agg(F.sum("n").alias("_all"))), F.lit(True)).select("value", "n", (F.col("n") / F.col("_all")).alias("share"))
+    return counts.select("value", "n", (F.col("n") / counts.agg(F.sum("n")).scalar()).alias("share"))
 
 
 def slices(df: DataFrame, by: Sequence[str], fields: Sequence[str], unknown: str = "UNKNOWN") -> DataFrame:
