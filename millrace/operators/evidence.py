@@ -9,9 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the evidence and status vocabularies.
+# The vocabularies of evidence, labels and reasons, and the words and signs that results depend on.
 KINDS = ("explicit", "implicit_name", "ambiguous_carrier", "text_silent", "unassessed")
 LEGACY = ("present", "absent", "unassessed")
+EXCLUDING_WORDS = "no|without|omit|avoid|excluding"
+FREE_AFTER = r"[ -]?free\b"
+ALTERNATIVES = r";|\bor\b|\band\b"
+CONTEXT_BEFORE, CONTEXT_AFTER = 22, 10
+OPEN_SIGNS = ",;:-–—(&/+"
+OPEN_WORDS = "and|or|the|a|an|to|with|of|in|on|for|till|until|then|add|is|into|at|by|as|from|some|your|but"
+CLOSING_SIGNS = ".!?)\"'’”"
+LEAST_METHOD, MOST_PLACEHOLDER, CLOSED_SHARE = 25, 200, 0.75
 
 
 def lexicon_match(c: Column, positive: str, negative: str | None = None) -> Column:
@@ -36,8 +44,7 @@ def evidence_kinds(items: Column, assessable: Column, classes: Mapping[str, Mapp
     carriers in the parts between ;, or, and, then negated mentions (which count as carriers); else the text is silent. A list that
     isn't assessable is unassessed for every class.
     """
-    no, free = re.compile(r"\b(?:no|without|omit|avoid|excluding)\s*$", re.I), re.compile(r"[ -]?free\b", re.I)
-    parts = re.compile(r";|\bor\b|\band\b", re.I)
+    no, free, parts = re.compile(rf"\b(?:{EXCLUDING_WORDS})\s*$", re.I), re.compile(FREE_AFTER, re.I), re.compile(ALTERNATIVES, re.I)
     rx = {c: ([re.compile(p, re.I) if p else None for p in (v.get("explicit"), v.get("implicit"))], [(re.compile(a, re.I), re.compile(b, re.I) if b else None) for a, b in v.get("carriers", ())]) for c, v in classes.items()}
 
     def kind(lines: list[str], c: str) -> str:
@@ -46,7 +53,7 @@ def evidence_kinds(items: Column, assessable: Column, classes: Mapping[str, Mapp
         for line in lines:
             for r in (explicit, implicit):
                 for m in r.finditer(line) if r else ():
-                    if no.search(line[max(0, m.start() - 22) : m.start()]) or free.match(line[m.end() : m.end() + 10]):
+                    if no.search(line[max(0, m.start() - CONTEXT_BEFORE) : m.start()]) or free.match(line[m.end() : m.end() + CONTEXT_AFTER]):
                         negated = True
                     else:
                         seen[r] = True
@@ -104,7 +111,7 @@ def evidence_grid(df: DataFrame, key: str, items: Column, legacy: Column, scan_i
     return judged.select(key, "class", "legacy_status", "kind", F.col("_p.status").alias("status"), F.col("_p.reason").alias("reason"), constraint(F.col("_p.status")).alias("decision"))
 
 
-def method_status(text: Column, patterns: Mapping[str, str], *, least: int = 25, most: int = 200) -> Column:
+def method_status(text: Column, patterns: Mapping[str, str], *, least: int = LEAST_METHOD, most: int = MOST_PLACEHOLDER) -> Column:
     """MISSING, PLACEHOLDER, NOT_A_METHOD, TRUNCATED or COMPLETE of a method text.
 
     patterns: placeholder, verb (of doing), finish. A text is truncated if it ends in a joining sign or word, or if its last of three or
@@ -114,9 +121,9 @@ def method_status(text: Column, patterns: Mapping[str, str], *, least: int = 25,
     parts = F.filter(F.transform(F.split(s, r"(?<=[.!?])\s+|\s*[\n|]+\s*"), lambda x: F.trim(x)), lambda x: x != "")
     last = F.element_at(parts, -1)
     others = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(1)))
-    stopped = F.size(F.filter(others, lambda x: x.rlike(r"[.!?)\"'’”]$")))
-    joint = s.rlike(r"[,;:\-–—(&/+]$") | s.rlike(r"(?i)\b(?:and|or|the|a|an|to|with|of|in|on|for|till|until|then|add|is|into|at|by|as|from|some|your|but)$")
-    open_end = s.rlike(r"[\p{L}\p{N}]$") & (F.size(parts) >= 3) & (stopped >= 0.75 * (F.size(parts) - 1)) & ~last.rlike(f"(?i){patterns['finish']}") & ~last.rlike(r"^\(?\d{1,2}[).:]\s")
+    stopped = F.size(F.filter(others, lambda x: x.rlike(f"[{re.escape(CLOSING_SIGNS)}]$")))
+    joint = s.rlike(f"[{re.escape(OPEN_SIGNS)}]$") | s.rlike(rf"(?i)\b(?:{OPEN_WORDS})$")
+    open_end = s.rlike(r"[\p{L}\p{N}]$") & (F.size(parts) >= 3) & (stopped >= CLOSED_SHARE * (F.size(parts) - 1)) & ~last.rlike(f"(?i){patterns['finish']}") & ~last.rlike(r"^\(?\d{1,2}[).:]\s")
     return (
         F.when(s == "", "MISSING")
         .when((F.length(s) < least) | ((F.length(s) <= most) & s.rlike(f"(?i){patterns['placeholder']}")), "PLACEHOLDER")
