@@ -51,11 +51,11 @@ def _unescape(text: str) -> str:
 
 @lru_cache(maxsize=64)
 def _patterns(seps: str, words: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern]:
-    """The raw-value state (up to the next separator) and the separator itself."""
+    """The raw-value state (up to the next separator or opening bracket) and the separator itself."""
     chars = re.escape(seps)
     word = "".join(rf"|[ \t]+{re.escape(w)}(?=[ \t])" for w in words)
     stop = rf"(?:[{chars}]{word})"
-    raw = rf"(?>(?:\([^()\n]*\)|\[[^\[\]\n]*\]|(?!{stop}).)*)" if words else rf"(?>(?:\([^()\n]*\)|\[[^\[\]\n]*\]|[^{chars}(\[]+|[(\[])*)"
+    raw = rf"(?>(?:(?!{stop})[^(\[])*)" if words else rf"[^{chars}(\[]*+"
     return re.compile(raw, re.S), re.compile(stop)
 
 
@@ -65,10 +65,26 @@ _QUOTED = {
 }
 
 
+_BRACKET = re.compile(r"[()\[\]]")
+
+
+def _partners(text: str, start: int, end: int) -> dict[int, int]:
+    """Place of each opening bracket that closes: that of its partner, by the depth among brackets of its kind."""
+    depth: dict[str, list[int]] = {")": [], "]": []}
+    out = {}
+    for m in _BRACKET.finditer(text, start, end):
+        if m[0] in "([":
+            depth[")" if m[0] == "(" else "]"].append(m.start())
+        elif depth[m[0]]:
+            out[depth[m[0]].pop()] = m.start()
+    return out
+
+
 def _walk(text: str, start: int, end: int, seps: str, words: tuple[str, ...], quotes: str) -> tuple[list[str], set[str]]:
     raw, stop = _patterns(seps, words)
     values: list[str] = []
     met: set[str] = set()
+    partners = _partners(text, start, end)
     pos = start
     while pos <= end:
         while pos < end and text[pos] in BLANKS and text[pos] not in seps:
@@ -85,8 +101,10 @@ def _walk(text: str, start: int, end: int, seps: str, words: tuple[str, ...], qu
             value = _unescape(body).strip(BLANKS)
             pos = after if after >= end or text[after] in seps else quoted.end()
         else:
-            m = raw.match(text, pos, end)
-            value, pos = m[0].strip(BLANKS), m.end()
+            at = raw.match(text, pos, end).end()
+            while at < end and text[at] in "([":  # a bracket that never closes is a plain sign
+                at = raw.match(text, partners.get(at, at) + 1, end).end()
+            value, pos = text[pos:at].strip(BLANKS), at
         if value:
             values.append(value)
         sep = stop.match(text, pos, end)

@@ -75,3 +75,23 @@ def test_very_long(spark):
     text = ";".join(f"value {i}" for i in range(100_000))
     assert len(tokenize(text)) == 100_000
     assert len(tokenize("(" * 50_000 + ";a")) == 2
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ("stock (cubes (beef; veal); low salt); leek", ["stock (cubes (beef; veal); low salt)", "leek"]),
+        ("a [b [c; d]; e]; f", ["a [b [c; d]; e]", "f"]),
+        ("a (b [c; d]; e); f", ["a (b [c; d]; e)", "f"]),
+        ("a (b;\nc); d", ["a (b;\nc)", "d"]),
+        ("a (b; (c; d); e", ["a (b", "(c; d)", "e"]),
+        ("a) b; c (d; e)", ["a) b", "c (d; e)"]),
+        ("[x (y, (z, w)), v]", ["x (y, (z, w))", "v"]),
+    ],
+)
+def test_nested_and_multi_line_brackets(text, values):
+    assert tokenize(text, LISTS) == values
+
+
+def test_nested_labels():
+    assert tokenize("x (a and (b, c)) and y", LABELS) == ["x (a and (b, c))", "y"]
