@@ -55,7 +55,7 @@ def _patterns(seps: str, words: tuple[str, ...]) -> tuple[re.Pattern, re.Pattern
     chars = re.escape(seps)
     word = "".join(rf"|[ \t]+{re.escape(w)}(?=[ \t])" for w in words)
     stop = rf"(?:[{chars}]{word})"
-    raw = rf"(?>(?:(?!{stop})[^(\[])*)" if words else rf"[^{chars}(\[]*+"
+    raw = rf"(?>(?:(?!{stop})[^(\[{{])*)" if words else rf"[^{chars}(\[{{]*+"
     return re.compile(raw, re.S), re.compile(stop)
 
 
@@ -65,18 +65,27 @@ _QUOTED = {
 }
 
 
-_BRACKET = re.compile(r"[()\[\]]")
+_CLOSING = {"(": ")", "[": "]", "{": "}"}
+#: A bracket, or a quoted passage: a quote that opens a word and one that ends one.
+_NESTING = re.compile(r'[()\[\]{}]|(?<![^\s(\[{,;|])"(?:[^"\\]|\\.)*"(?![^\s)\]},;|])', re.S)
 
 
 def _partners(text: str, start: int, end: int) -> dict[int, int]:
-    """Place of each opening bracket that closes: that of its partner, by the depth among brackets of its kind."""
-    depth: dict[str, list[int]] = {")": [], "]": []}
-    out = {}
-    for m in _BRACKET.finditer(text, start, end):
-        if m[0] in "([":
-            depth[")" if m[0] == "(" else "]"].append(m.start())
-        elif depth[m[0]]:
-            out[depth[m[0]].pop()] = m.start()
+    """Place of each opening bracket that closes: that of its partner, by the depth among brackets of its kind.
+
+    Brackets inside quotes within brackets don't count.
+    """
+    depth: dict[str, list[int]] = {c: [] for c in _CLOSING.values()}
+    out, pos = {}, start
+    while m := _NESTING.search(text, pos, end):
+        c, pos = m[0], m.end()
+        if c in _CLOSING:
+            depth[_CLOSING[c]].append(m.start())
+        elif c in depth:
+            if depth[c]:
+                out[depth[c].pop()] = m.start()
+        elif not any(depth.values()):  # outside brackets quotes are the business of the walk
+            pos = m.start() + 1
     return out
 
 
@@ -102,7 +111,7 @@ def _walk(text: str, start: int, end: int, seps: str, words: tuple[str, ...], qu
             pos = after if after >= end or text[after] in seps else quoted.end()
         else:
             at = raw.match(text, pos, end).end()
-            while at < end and text[at] in "([":  # a bracket that never closes is a plain sign
+            while at < end and text[at] in _CLOSING:  # a bracket that never closes is a plain sign
                 at = raw.match(text, partners.get(at, at) + 1, end).end()
             value, pos = text[pos:at].strip(BLANKS), at
         if value:

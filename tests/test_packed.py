@@ -95,3 +95,18 @@ def test_nested_and_multi_line_brackets(text, values):
 
 def test_nested_labels():
     assert tokenize("x (a and (b, c)) and y", LABELS) == ["x (a and (b, c))", "y"]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("salt (fine (sea, flaky), or kosher), pepper", ["salt (fine (sea, flaky), or kosher)", "pepper"]),
+        ("a {b, c}, d", ["a {b, c}", "d"]),
+        ('kale (see "A) note", v2), oil', ['kale (see "A) note", v2)', "oil"]),
+        ('stock (2" cubes, cut), leek', ['stock (2" cubes, cut)', "leek"]),
+        ("a {b, c, d", ["a {b", "c", "d"]),
+        ("x (a {b) c}, d", ["x (a {b) c}", "d"]),
+    ],
+)
+def test_depth_is_counted(text, want):
+    assert tokenize(text) == want
