@@ -109,20 +109,18 @@ def extract_or_null(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def affirmed(c: Column, pattern: str, negator: str, before: int = 30) -> Column:
-    """The first match of a pattern before which, within so many characters, no negator ends; null without one. Arrow-batched."""
-    find, no = re.compile(pattern, re.I), re.compile(rf"(?:{negator})", re.I)
+    """The first match of a pattern before which, within so many characters, there is no negator; null without one."""
+    bare = F.translate(c, "\x02\x03", "")
+    parts = F.split(F.regexp_replace(bare, f"(?i)({pattern})", "\x02$1\x03"), "\x02")
 
-    def first(text: str | None) -> str | None:
-        for m in find.finditer(text or ""):
-            if not no.search(text[max(0, m.start() - before) : m.start()]):
-                return m[0]
-        return None
+    def judged(part: Column, i: Column) -> Column:
+        """A match, unless what goes before it, of which the last parts are enough, has a negator."""
+        near = F.greatest(F.lit(1), i - before + 1)
+        left = F.right(F.translate(F.array_join(F.slice(parts, near, i - near + 1), ""), "\x03", ""), F.lit(before))
+        return F.when((i > 0) & ~left.rlike(f"(?i){negator}"), F.substring_index(part, "\x03", 1))
 
-    @F.arrow_udf("string")
-    def run(batch: pa.Array) -> pa.Array:
-        return pa.array([first(x) for x in batch.to_pylist()], pa.string())
+    return F.get(F.array_compact(F.transform(parts, judged)), F.lit(0))
 
-    return run(c)
 
 
 def card(fields: Mapping[str, Column], unknown: str = "unknown") -> Column:

@@ -3,24 +3,44 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from itertools import product
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The vocabularies of evidence, labels and reasons, and the words and signs that results depend on.
+# The vocabularies of evidence, labels, statuses and reasons, and the words, signs and lengths that results depend on.
 KINDS = ("explicit", "implicit_name", "ambiguous_carrier", "text_silent", "unassessed")
 LEGACY = ("present", "absent", "unassessed")
+EVIDENCE_REASONS = {"explicit": "explicit_name_match", "implicit_name": "implicit_name_match", "ambiguous_carrier": "ambiguous_carrier_match", "negated": "negated_name_requires_review", "text_silent": "no_supported_name_or_carrier_match", "unassessed": "ingredient_evidence_unassessed"}
+#: What must hold, and the status and reason that follow; the first row that holds counts.
+POLICY = (
+    ({"legacy": ("present",)}, "present", "legacy_positive_preserved"),
+    ({"legacy": ("unassessed",)}, "unknown", "legacy_unassessed"),
+    ({"scan": ("incomplete",)}, "unknown", "scan_incomplete"),
+    ({"kind": ("unassessed",)}, "unknown", "ingredient_evidence_unassessed"),
+    ({"kind": ("explicit", "implicit_name")}, "unknown", "name_conflicts_with_legacy_absence"),
+    ({"kind": ("ambiguous_carrier",)}, "unknown", "text_open_legacy_absence"),
+    ({}, "absent", "silver_inferred_absence_not_verified_safe"),
+)
+DECISIONS = {"present": "FAIL", "unknown": "UNKNOWN", "absent": "PASS_SILVER_ONLY"}
 EXCLUDING_WORDS = "no|without|omit|avoid|excluding"
 FREE_AFTER = r"[ -]?free\b"
 ALTERNATIVES = r";|\bor\b|\band\b"
-CONTEXT_BEFORE, CONTEXT_AFTER = 22, 10
+CONTEXT_BEFORE = 22
 OPEN_SIGNS = ",;:-–—(&/+"
 OPEN_WORDS = "and|or|the|a|an|to|with|of|in|on|for|till|until|then|add|is|into|at|by|as|from|some|your|but"
 CLOSING_SIGNS = ".!?)\"'’”"
+LIST_ITEM = r"^\(?\d{1,2}[).:]\s"
 LEAST_METHOD, MOST_PLACEHOLDER, CLOSED_SHARE = 25, 200, 0.75
 
+#: Signs that mark where a mention starts and ends; texts lose them beforehand.
+_START, _END, _PART = "\x02", "\x03", "\n\x01\n"
+_DENIED_BEFORE = rf"(?i)\b(?:{'|'.join(rf'{w}\s{{0,{CONTEXT_BEFORE - len(w)}}}' for w in EXCLUDING_WORDS.split('|'))}){_START}"
+_DENIED_AFTER = rf"(?i){_END}{FREE_AFTER}"
+#: What every text with a denied mention holds.
+_DOUBT = rf"(?i)\b(?:{EXCLUDING_WORDS}|free)\b"
+
 
 def lexicon_match(c: Column, positive: str, negative: str | None = None) -> Column:
     """Whether a text has a term after the phrases that only contain it are taken out; null has none."""
@@ -36,79 +56,120 @@ def lexicon_counts(df: DataFrame, by: Sequence[str], text: str, lexicon: Mapping
     return counts.select(*by, "total", cells.alias("x")).select(*by, "x.class", "x.n", "total")
 
 
-def evidence_kinds(items: Column, assessable: Column, classes: Mapping[str, Mapping]) -> Column:
-    """map of class to kind of evidence in a list of lines.
+def _lines(items: Column) -> Column:
+    """The lines of a list as one text, parted so that no pattern reaches from one into the next."""
+    return F.translate(F.array_join(F.filter(items, lambda x: x.isNotNull()), _PART), _START + _END, "")
+
+
+def _pieces(text: Column) -> Column:
+    """The parts of all lines between ;, or, and."""
+    return F.split(text, f"(?i){_PART}|{ALTERNATIVES}")
+
+
+def _denied(marked: Column) -> Column:
+    return marked.rlike(_DENIED_BEFORE) | marked.rlike(_DENIED_AFTER)
+
+
+def _affirmed(marked: Column) -> Column:
+    """Whether a mention is left once those denied before or after are taken out."""
+    rest = F.regexp_replace(F.regexp_replace(marked, f"{_DENIED_BEFORE}[^{_END}]*{_END}", ""), f"(?i){_START}[^{_END}]*{_END}{FREE_AFTER}", "")
+    return F.contains(rest, F.lit(_START))
+
+
+def _carrier(pattern: str, exclusion: str) -> Callable[[Column], Column]:
+    return lambda x: x.rlike(f"(?i){pattern}") & ~x.rlike(f"(?i){exclusion}")
+
+
+def _evidence(text: Column, pieces: Column, doubt: Column, spec: Mapping) -> Column:
+    """struct(kind, reason) of one class over lines that are assessable; mentions are marked only where one may be denied."""
+    if spec.get("strip"):
+        text, pieces = F.regexp_replace(text, f"(?i){spec['strip']}", " "), F.transform(pieces, lambda x: F.regexp_replace(x, f"(?i){spec['strip']}", " "))
+
+    def out(reason: str, kind: str | None = None) -> Column:
+        return F.struct(F.lit(kind or reason).alias("kind"), F.lit(EVIDENCE_REASONS[reason]).alias("reason"))
+
+    named = {kind: (text.rlike(f"(?im){spec[k]}"), F.regexp_replace(text, f"(?im)({spec[k]})", f"{_START}$1{_END}")) for k, kind in (("explicit", "explicit"), ("implicit", "implicit_name")) if spec.get(k)}
+    found = F.when(text.isNull(), out("unassessed"))
+    for kind, (there, marked) in named.items():
+        found = found.when(there & (~doubt | _affirmed(marked)), out(kind))
+    for p, no in spec.get("carriers", ()):
+        found = found.when(F.exists(pieces, _carrier(p, no)) if no else text.rlike(f"(?im){p}"), out("ambiguous_carrier"))
+    for there, marked in named.values():
+        found = found.when(doubt & there & _denied(marked), out("negated", "ambiguous_carrier"))
+    return found.otherwise(out("text_silent"))
+
+
+def _evidence_map(text: Column, pieces: Column, doubt: Column, classes: Mapping[str, Mapping]) -> Column:
+    return F.create_map(*[x for c, spec in classes.items() for x in (F.lit(c), _evidence(text, pieces, doubt, spec))])
 
-    classes: class to explicit and implicit (patterns or None) and carriers, pairs of a pattern and an exclusion. A match that a word
-    of exclusion ends right before (within 22 characters), or that '-free' follows, is negated. Explicit goes before implicit, then
-    carriers in the parts between ;, or, and, then negated mentions (which count as carriers); else the text is silent. A list that
-    isn't assessable is unassessed for every class.
+
+def _assessed(items: Column, assessable: Column) -> Column:
+    """The text of a list that can be assessed, else null."""
+    return F.when(F.coalesce(assessable, F.lit(False)) & (F.coalesce(F.size(items), F.lit(0)) > 0), _lines(items))
+
+
+def evidence_of(items: Column, assessable: Column, classes: Mapping[str, Mapping]) -> Column:
+    """map of class to struct(kind, reason): the evidence in a list of lines.
+
+    classes: class to explicit and implicit (patterns or None), carriers (pairs of a pattern and an exclusion) and strip (phrases taken
+    out beforehand). A mention right after a word of exclusion (both within 22 characters) or before '-free' is denied. Affirmed
+    explicit names go before implicit ones, then carriers in the parts between ;, or, and, then denied mentions (carriers too, for
+    another reason); else the text is silent. A list that is null, empty or not assessable is unassessed for every class. Patterns are
+    regular expressions of the JVM; case is ignored, ^ and $ are the ends of a line.
     """
-    no, free, parts = re.compile(rf"\b(?:{EXCLUDING_WORDS})\s*$", re.I), re.compile(FREE_AFTER, re.I), re.compile(ALTERNATIVES, re.I)
-    rx = {c: ([re.compile(p, re.I) if p else None for p in (v.get("explicit"), v.get("implicit"))], [(re.compile(a, re.I), re.compile(b, re.I) if b else None) for a, b in v.get("carriers", ())]) for c, v in classes.items()}
-
-    def kind(lines: list[str], c: str) -> str:
-        (explicit, implicit), carriers = rx[c]
-        seen, negated = {explicit: False, implicit: False}, False
-        for line in lines:
-            for r in (explicit, implicit):
-                for m in r.finditer(line) if r else ():
-                    if no.search(line[max(0, m.start() - CONTEXT_BEFORE) : m.start()]) or free.match(line[m.end() : m.end() + CONTEXT_AFTER]):
-                        negated = True
-                    else:
-                        seen[r] = True
-        if explicit and seen[explicit]:
-            return "explicit"
-        if implicit and seen[implicit]:
-            return "implicit_name"
-        pieces = [x for line in lines for x in parts.split(line)]
-        if any(a.search(x) and not (b and b.search(x)) for a, b in carriers for x in pieces) or negated:
-            return "ambiguous_carrier"
-        return "text_silent"
-
-    @F.arrow_udf("map<string,string>")
-    def run(lists: pa.Array, ok: pa.Array) -> pa.Array:
-        rows = [[(c, kind(x, c) if y and x else "unassessed") for c in classes] for x, y in zip(lists.to_pylist(), ok.to_pylist(), strict=True)]
-        return pa.array(rows, pa.map_(pa.string(), pa.string()))
-
-    return run(items, assessable)
+    text = _assessed(items, assessable)
+    return _evidence_map(text, _pieces(text), text.rlike(_DOUBT), classes)
 
 
-def status_policy(legacy: Column, kind: Column, scan_incomplete: Column, assessable: Column) -> Column:
-    """struct(status, reason): first rule that holds; a missing scan flag counts as incomplete, anything unknown stays unknown."""
+def evidence_kinds(items: Column, assessable: Column, classes: Mapping[str, Mapping]) -> Column:
+    """map of class to kind of evidence, as evidence_of without the reasons."""
+    return F.transform_values(evidence_of(items, assessable, classes), lambda _, e: e["kind"])
 
-    def out(status: str, reason: str) -> Column:
-        return F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason"))
 
-    bad = legacy.isNull() | ~legacy.isin(*LEGACY) | kind.isNull() | ~kind.isin(*KINDS)
-    raised = F.raise_error(F.concat(F.lit("outside the vocabulary: "), F.coalesce(legacy, F.lit("null")), F.lit(", "), F.coalesce(kind, F.lit("null"))))
-    return (
-        F.when(bad, F.struct(raised.cast("string").alias("status"), F.lit(None).cast("string").alias("reason")))
-        .when(legacy == "present", out("present", "legacy_positive_preserved"))
-        .when(legacy == "unassessed", out("unknown", "legacy_unassessed"))
-        .when(F.coalesce(scan_incomplete, F.lit(True)), out("unknown", "scan_incomplete"))
-        .when(~F.coalesce(assessable, F.lit(False)) | (kind == "unassessed"), out("unknown", "ingredient_evidence_unassessed"))
-        .when(kind.isin("explicit", "implicit_name"), out("unknown", "name_conflicts_with_legacy_absence"))
-        .when(kind == "ambiguous_carrier", out("unknown", "text_open_legacy_absence"))
-        .otherwise(out("absent", "silver_inferred_absence_not_verified_safe"))
-    )
+def _decided() -> dict[str, tuple[str, str]]:
+    """Status and reason of every combination of label, state of the scan and kind."""
+    out = {}
+    for legacy, scan, kind in product(LEGACY, ("complete", "incomplete"), KINDS):
+        cell = {"legacy": legacy, "scan": scan, "kind": kind}
+        out[" ".join(cell.values())] = next((status, reason) for where, status, reason in POLICY if all(cell[k] in v for k, v in where.items()))
+    return out
+
+
+def status_policy(legacy: Column, kind: Column, scan_incomplete: Column, assessable: Column) -> Column:
+    """struct(status, reason) by a decision table; a missing scan flag counts as incomplete, what isn't assessable as unassessed.
+
+    A label or kind outside its vocabulary, null included, raises an error.
+    """
+    decided = F.create_map(*[x for k, (status, reason) in _decided().items() for x in (F.lit(k), F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason")))])
+    known = F.coalesce(legacy.isin(*LEGACY) & kind.isin(*KINDS), F.lit(False))
+    scan = F.when(F.coalesce(scan_incomplete, F.lit(True)), "incomplete").otherwise("complete")
+    seen = F.when(F.coalesce(assessable, F.lit(False)), kind).otherwise("unassessed")
+    refused = F.raise_error(F.concat(F.lit("outside the vocabulary: "), F.coalesce(legacy, F.lit("null")), F.lit(", "), F.coalesce(kind, F.lit("null"))))
+    return F.try_element_at(decided, F.when(known, F.concat_ws(" ", legacy, scan, seen)).otherwise(refused.cast("string")))
 
 
 def constraint(status: Column) -> Column:
     """FAIL for present, UNKNOWN for unknown, PASS_SILVER_ONLY for absent; anything else raises."""
-    return F.when(status == "present", "FAIL").when(status == "unknown", "UNKNOWN").when(status == "absent", "PASS_SILVER_ONLY").otherwise(F.raise_error(F.concat(F.lit("unknown status "), F.coalesce(status, F.lit("null")))).cast("string"))
+    known = F.try_element_at(F.create_map(*[F.lit(x) for pair in DECISIONS.items() for x in pair]), status)
+    return F.coalesce(known, F.raise_error(F.concat(F.lit("unknown status "), F.coalesce(status, F.lit("null")))).cast("string"))
 
 
 def evidence_grid(df: DataFrame, key: str, items: Column, legacy: Column, scan_incomplete: Column, assessable: Column, classes: Mapping[str, Mapping]) -> DataFrame:
-    """key, class, legacy_status, kind, status, reason, decision for every key and class.
+    """key, class, legacy_status, kind, evidence_reason, status, reason, decision for every key and class.
 
     legacy is a map of class to status; a class it lacks is unassessed.
     """
-    kinds = evidence_kinds(items, assessable, classes)
-    base = df.select(F.col(key), kinds.alias("_k"), legacy.alias("_l"), scan_incomplete.alias("_s"), assessable.alias("_a"))
-    each = base.select(key, "_l", "_s", "_a", F.explode("_k").alias("class", "kind")).withColumn("legacy_status", F.coalesce(F.try_element_at("_l", F.col("class")), F.lit("unassessed")))
-    judged = each.withColumn("_p", status_policy(F.col("legacy_status"), F.col("kind"), F.col("_s"), F.col("_a")))
-    return judged.select(key, "class", "legacy_status", "kind", F.col("_p.status").alias("status"), F.col("_p.reason").alias("reason"), constraint(F.col("_p.status")).alias("decision"))
+    read = df.select(F.col(key), _assessed(items, assessable).alias("_t"), legacy.alias("_l"), scan_incomplete.alias("_s"), assessable.alias("_a"))
+    base = read.select("*", _pieces(F.col("_t")).alias("_p"), F.col("_t").rlike(_DOUBT).alias("_d")).select(key, "_l", "_s", "_a", _evidence_map(F.col("_t"), F.col("_p"), F.col("_d"), classes).alias("_k"))
+    each = base.select(key, "_l", "_s", "_a", F.explode_outer("_k").alias("class", "_e")).withColumn("legacy_status", F.coalesce(F.try_element_at("_l", F.col("class")), F.lit("unassessed")))
+    judged = each.withColumn("_p", status_policy(F.col("legacy_status"), F.col("_e.kind"), F.col("_s"), F.col("_a")))
+    return judged.select(key, "class", "legacy_status", F.col("_e.kind").alias("kind"), F.col("_e.reason").alias("evidence_reason"), F.col("_p.status").alias("status"), F.col("_p.reason").alias("reason"), constraint(F.col("_p.status")).alias("decision"))
+
+
+def review_queue(grid: DataFrame, reasons: Sequence[str], key: str) -> DataFrame:
+    """The cells of a grid whose status or evidence has one of the reasons, by key and class; why lists the reasons that hold."""
+    why = F.filter(F.array("reason", "evidence_reason"), lambda x: F.coalesce(x.isin(*reasons), F.lit(False)))
+    return grid.withColumn("why", F.array_join(why, ",")).where("why <> ''").select(key, "class", "legacy_status", "kind", "status", "why")
 
 
 def method_status(text: Column, patterns: Mapping[str, str], *, least: int = LEAST_METHOD, most: int = MOST_PLACEHOLDER) -> Column:
@@ -123,7 +184,7 @@ def method_status(text: Column, patterns: Mapping[str, str], *, least: int = LEA
     others = F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(1)))
     stopped = F.size(F.filter(others, lambda x: x.rlike(f"[{re.escape(CLOSING_SIGNS)}]$")))
     joint = s.rlike(f"[{re.escape(OPEN_SIGNS)}]$") | s.rlike(rf"(?i)\b(?:{OPEN_WORDS})$")
-    open_end = s.rlike(r"[\p{L}\p{N}]$") & (F.size(parts) >= 3) & (stopped >= CLOSED_SHARE * (F.size(parts) - 1)) & ~last.rlike(f"(?i){patterns['finish']}") & ~last.rlike(r"^\(?\d{1,2}[).:]\s")
+    open_end = s.rlike(r"[\p{L}\p{N}]$") & (F.size(parts) >= 3) & (stopped >= CLOSED_SHARE * (F.size(parts) - 1)) & ~last.rlike(f"(?i){patterns['finish']}") & ~last.rlike(LIST_ITEM)
     return (
         F.when(s == "", "MISSING")
         .when((F.length(s) < least) | ((F.length(s) <= most) & s.rlike(f"(?i){patterns['placeholder']}")), "PLACEHOLDER")

@@ -13,9 +13,10 @@ from millrace.session import table
 
 R = Registry()
 
+#: Patterns of the queries here, written for the tables' own sentences.
 METHOD = {
-    "intermediate_title": r"\b(?:filling|stuffing|marinade|glaze|icing)\b", "intermediate_use": r"\breserve for\b|\bto fill the\b|\buse (?:it|this) (?:in|to make)\b", "finish": r"\b(?:serve|ready|enjoy|done|garnish|store)\b",
-    "liquid": r"\b(?:water|milk|stock|broth)\b", "add_liquid": r"\b(?:add|pour) (?:in )?(?:the )?(?:water|milk|stock|broth)\b", "negator": r"\b(?:no|not|never|without)\b[^.]{0,25}$", "consistency": r"\b(?:thick|thin|reduc|absorb|dry|dough|batter)\w*", "solid": r"\b(?:bake|fry|grill|knead|steam|freeze)\w*",
+    "intermediate_title": r"\b(?:relish|paste|dressing|syrup|crust)\b", "intermediate_use": r"\bsave (?:it|this) for the\b|\bspread it over\b", "finish": r"\b(?:serve|golden|thickens|feast|store)\b",
+    "liquid": r"\b(?:wine|juice|broth|milk)\b", "add_liquid": r"\b(?:loosen it with|pour over|fold in)\b", "negator": r"\b(?:nobody|without|instead of|leave out)\s(?:\w+\s){0,2}$", "consistency": r"\b(?:coat|loosen|smooth|sets?)\w*", "solid": r"\b(?:rest|chill|froze|toast)\w*",
 }
 
 

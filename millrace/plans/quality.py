@@ -10,7 +10,6 @@ from millrace.functions import text as T
 from millrace.operators import contracts as C
 from millrace.operators import digests as D
 from millrace.operators import evidence as E
-from millrace.operators.packed import LABELS, LISTS, unpack
 from millrace.plans.registry import Registry
 from millrace.session import table
 
@@ -161,16 +160,17 @@ def status_policy_table(spark: SparkSession, root: str) -> DataFrame:
 
 #: Evidence patterns of five classes, for the queries here.
 CLASSES = {
-    "milk": {"explicit": r"(?<!coconut )(?<!almond )\bmilk\b", "implicit": r"\b(?:paneer|ghee|feta|mozzarella|parmesan|cream|yogurt|buttermilk)\b", "carriers": [(r"\bchocolate\b", None)]},
+    "milk": {"explicit": r"\bmilk\b", "implicit": r"\b(?:paneer|ghee|feta|mozzarella|parmesan|cream|yogurt|buttermilk)\b", "carriers": [(r"\bchocolate\b", None)], "strip": r"\b(?:coconut|almond) milk\b"},
     "egg": {"explicit": r"\beggs?\b", "implicit": r"\bmayonnaise\b"},
     "peanut": {"explicit": r"\bpeanuts?\b", "carriers": [(r"\boil\b", r"\b(?:olive|sunflower|mustard)\b")]},
     "soy": {"explicit": r"\bsoy\b", "implicit": r"\b(?:tofu|edamame|tempeh|miso)\b", "carriers": [(r"\bsauce\b", r"\b(?:fish|oyster) sauce\b")]},
     "fish": {"explicit": r"\bfish\b", "implicit": r"\b(?:salmon|tuna|codfish|anchovy)\b"},
 }
+_LINE_ENDS, _LABEL_ENDS = r"[;|\n\r\t•]+", r"[;|,/&+\n\r\t•\[\]\" ]+"
 
 
 def _legacy(labels: Column) -> Column:
-    """Statuses of the classes above from a packed label set."""
+    """Statuses of the classes above from a label set."""
     pairs = []
     for c in CLASSES:
         blank = (F.size(labels) == 0) | F.array_contains(labels, "unknown")
@@ -178,19 +178,54 @@ def _legacy(labels: Column) -> Column:
     return F.create_map(*pairs)
 
 
-@R.query("evidence_grid")
+def _evidence_sql() -> str:
+    """The grid in SQL: mentions are marked by signs, and a mention counts that is left once denied ones are taken out."""
+
+    def some(lines: str, test: str) -> str:
+        return f"len(list_filter({lines}, lambda x: {test})) > 0"
+
+    denied_before = r"\b(?:no|without|omit|avoid|excluding)\s*⟪"
+    rows = []
+    for c, v in CLASSES.items():
+        bare = f"list_transform(items, lambda x: regexp_replace(x, '{v['strip']}', ' ', 'gi'))" if v.get("strip") else "items"
+        marks = {k: f"list_transform({bare}, lambda x: regexp_replace(x, '({v[k]})', '⟪\\1⟫', 'gi'))" for k in ("explicit", "implicit") if v.get(k)}
+        whens = []
+        for k, marked in marks.items():
+            left = rf"contains(regexp_replace(regexp_replace(x, '{denied_before}[^⟫]*⟫', '', 'gi'), '⟪[^⟫]*⟫[ -]?free\b', '', 'gi'), '⟪')"
+            whens.append(f"WHEN {some(marked, left)} THEN '{'explicit' if k == 'explicit' else 'implicit_name'}'")
+        pieces = rf"flatten(list_transform({bare}, lambda x: regexp_split_to_array(x, ';|\bor\b|\band\b')))"
+        for p, no in v.get("carriers", ()):
+            but = f" AND NOT regexp_matches(x, '{no}', 'i')" if no else ""
+            cond = f"regexp_matches(x, '{p}', 'i'){but}"
+            whens.append(f"WHEN {some(pieces, cond)} THEN 'ambiguous_carrier'")
+        for marked in marks.values():
+            whens.append("WHEN " + some(marked, rf"regexp_matches(x, '{denied_before}|⟫[ -]?free\b', 'i')") + " THEN 'negated'")
+        rows.append(f"SELECT recipe_id, '{c}' AS class, s, a, CASE WHEN list_contains(labels, '{c}') THEN 'present' WHEN len(labels) = 0 OR list_contains(labels, 'unknown') THEN 'unassessed' ELSE 'absent' END AS l, CASE WHEN NOT a THEN 'unassessed' {' '.join(whens)} ELSE 'text_silent' END AS k FROM base")
+    reasons = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in E.EVIDENCE_REASONS.items())
+    return rf"WITH base AS (SELECT recipe_id, coalesce(allergen_scan_incomplete, true) AS s, items, labels, len(items) > 0 AND coalesce(lang_base, '') = 'en' AS a FROM (SELECT recipe_id, allergen_scan_incomplete, lang_base, list_filter(list_transform(regexp_split_to_array(lower(coalesce(ingredientslist, '')), '{_LINE_ENDS}'), lambda x: trim(x)), lambda x: x NOT IN ('', '[]', 'null')) AS items, list_filter(regexp_split_to_array(lower(coalesce(allergens_v2, '')), '{_LABEL_ENDS}'), lambda x: x NOT IN ('', 'null')) AS labels FROM recipes_structured)), judged AS (SELECT *, CASE WHEN l = 'present' THEN 'legacy_positive_preserved' WHEN l = 'unassessed' THEN 'legacy_unassessed' WHEN s THEN 'scan_incomplete' WHEN k = 'unassessed' THEN 'ingredient_evidence_unassessed' WHEN k IN ('explicit', 'implicit_name') THEN 'name_conflicts_with_legacy_absence' WHEN k IN ('ambiguous_carrier', 'negated') THEN 'text_open_legacy_absence' ELSE 'silver_inferred_absence_not_verified_safe' END AS reason FROM ({' UNION ALL '.join(rows)})) SELECT recipe_id, class, l AS legacy_status, CASE k WHEN 'negated' THEN 'ambiguous_carrier' ELSE k END AS kind, CASE k {reasons} END AS evidence_reason, CASE WHEN l = 'present' THEN 'present' WHEN reason LIKE 'silver%' THEN 'absent' ELSE 'unknown' END AS status, reason, CASE WHEN l = 'present' THEN 'FAIL' WHEN reason LIKE 'silver%' THEN 'PASS_SILVER_ONLY' ELSE 'UNKNOWN' END AS decision FROM judged"
+
+
+@R.query("evidence_grid", _evidence_sql())
 def evidence_grid(spark: SparkSession, root: str) -> DataFrame:
-    """recipe_id, class, legacy_status, kind, status, reason, decision over all recipes."""
-    r = table(spark, root, "recipes_structured").select("recipe_id", "allergen_scan_incomplete", "lang_base", F.transform(unpack("ingredientslist", LISTS), F.lower).alias("items"), F.transform(unpack("allergens_v2", LABELS), F.lower).alias("labels"))
-    return E.evidence_grid(r, "recipe_id", F.col("items"), _legacy(F.col("labels")), F.col("allergen_scan_incomplete"), (F.size("items") > 0) & (F.col("lang_base") == "en"), CLASSES)
+    """recipe_id, class, legacy_status, kind, evidence_reason, status, reason, decision over all recipes, by the lines of their lists."""
+    lines = F.filter(F.transform(F.split(F.lower(F.coalesce("ingredientslist", F.lit(""))), _LINE_ENDS), lambda x: F.trim(x)), lambda x: ~x.isin("", "[]", "null"))
+    labels = F.filter(F.split(F.lower(F.coalesce("allergens_v2", F.lit(""))), _LABEL_ENDS), lambda x: ~x.isin("", "null"))
+    r = table(spark, root, "recipes_structured").select("recipe_id", "allergen_scan_incomplete", "lang_base", lines.alias("items"), labels.alias("labels"))
+    return E.evidence_grid(r, "recipe_id", F.col("items"), _legacy(F.col("labels")), F.col("allergen_scan_incomplete"), (F.size("items") > 0) & F.coalesce(F.col("lang_base") == "en", F.lit(False)), CLASSES)
 
 
-@R.query("evidence_summary")
+@R.query("evidence_summary", f"WITH g AS ({_evidence_sql()}) SELECT class, status, reason, count(*) AS n FROM g GROUP BY GROUPING SETS ((class, status, reason), (status, reason))")
 def evidence_summary(spark: SparkSession, root: str) -> DataFrame:
     """Statuses by class, with a row for all classes."""
     return evidence_grid(spark, root).groupingSets([["class", "status", "reason"], ["status", "reason"]], "class", "status", "reason").agg(F.count("*").alias("n"))
 
 
+@R.query("review_queue", f"WITH g AS ({_evidence_sql()}) SELECT recipe_id, class, legacy_status, kind, status, concat_ws(',', CASE WHEN reason = 'name_conflicts_with_legacy_absence' THEN reason END, CASE WHEN evidence_reason = 'negated_name_requires_review' THEN evidence_reason END) AS why FROM g WHERE reason = 'name_conflicts_with_legacy_absence' OR evidence_reason = 'negated_name_requires_review'")
+def review_queue(spark: SparkSession, root: str) -> DataFrame:
+    """Cells to look at: a name against an absent label, or only denied names."""
+    return E.review_queue(evidence_grid(spark, root), ["name_conflicts_with_legacy_absence", "negated_name_requires_review"], "recipe_id")
+
+
 @R.query("wide_flags", "SELECT user_id, bool_or(event_type = 'purchase') AS purchase, bool_or(event_type = 'error') AS error, bool_or(event_type = 'purchase') AND NOT bool_or(event_type = 'error') AS clean_buyer FROM events GROUP BY user_id")
 def wide_flags(spark: SparkSession, root: str) -> DataFrame:
     flags = table(spark, root, "events").groupBy("user_id").agg(*[F.bool_or(F.col("event_type") == t).alias(t) for t in ("purchase", "error")])

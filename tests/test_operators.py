@@ -126,6 +126,26 @@ def test_evidence(spark, name, items, kind):
     assert df.select(E.evidence_kinds(F.col("i"), F.col("a"), CLASSES).alias("k")).first()[0][name] == kind
 
 
+@pytest.mark.parametrize(
+    ("items", "want"),
+    [
+        (["no  milk"], ("ambiguous_carrier", "negated_name_requires_review")),
+        (["no milk, some whole milk"], ("explicit", "explicit_name_match")),
+        (["milk-free", "milk free, milky"], ("ambiguous_carrier", "negated_name_requires_review")),
+        (["nothing", "no", "milk"], ("explicit", "explicit_name_match")),
+        (["without", None, "cream"], ("implicit_name", "implicit_name_match")),
+        (["chocolate; no milk"], ("ambiguous_carrier", "ambiguous_carrier_match")),
+        (["almond milk"], ("text_silent", "no_supported_name_or_carrier_match")),
+        ([], ("unassessed", "ingredient_evidence_unassessed")),
+        (None, ("unassessed", "ingredient_evidence_unassessed")),
+    ],
+)
+def test_evidence_reasons(spark, items, want):
+    df = spark.createDataFrame([(items, True)], "i array<string>, a boolean")
+    assert tuple(df.select(E.evidence_of(F.col("i"), F.col("a"), CLASSES).alias("k")).first()[0]["milk"]) == want
+    assert df.select(E.evidence_kinds(F.col("i"), F.lit(None).cast("boolean"), CLASSES).alias("k")).first()[0]["milk"] == "unassessed"
+
+
 @pytest.mark.parametrize(
     ("legacy", "kind", "incomplete", "ok", "status"),
     [("absent", "ambiguous_carrier", False, True, "unknown"), ("absent", "text_silent", False, True, "absent"), ("absent", "implicit_name", False, True, "unknown"), ("present", "unassessed", True, False, "present"), ("absent", "text_silent", True, True, "unknown"), ("absent", "text_silent", None, True, "unknown"), ("unassessed", "explicit", False, True, "unknown")],
