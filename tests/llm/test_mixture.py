@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from millrace.llm.mixture import mixture, mixture_shares
+from millrace.llm.mixture import mixture, mixture_shares, positions
 
 DOCS = "doc_id bigint, source string, text string, _t string, k int, at double"
 TARGETS = "source string, target_share double, max_repeats int"
@@ -55,3 +55,33 @@ def test_empty(spark):
     targets = spark.createDataFrame([("big", 1.0, 1)], TARGETS)
     assert mixture(docs(spark).limit(0), targets)[0].count() == 0
     assert mixture(docs(spark), targets.limit(0))[0].count() == 0
+
+
+def test_keys_are_spread_evenly_whatever_the_weights(spark):
+    """No bin of keys holds above twice its part, none tie, and the order is that of the keys."""
+    w = F.pow(F.lit(10.0), -2 * F.rand(3))
+    for weight in (w, F.lit(0.01), F.lit(0.05), F.lit(1.0), F.when(F.rand(5) < 0.5, 0.01).otherwise(1.0)):
+        df = spark.range(60_000).select(F.col("id").alias("k"), F.lit("a").alias("source"), F.lit(1).alias("n_tokens"), weight.alias("w"))
+        keyed = df.withColumn("e", -F.log((F.shiftrightunsigned(F.xxhash64("k"), 11).cast("double") + 0.5) / F.lit(float(2**53))) / F.col("w"))
+        rows = positions(keyed).select("e", "at").orderBy("e").collect()
+        assert len({r["e"] for r in rows}) == len(rows)
+        assert all(a["at"] <= b["at"] for a, b in zip(rows, rows[1:], strict=False)) and all(0 <= r["at"] <= 1 for r in rows)
+        bins = [0] * 60
+        for r in rows:
+            bins[min(59, int(r["at"] * 60))] += 1
+        assert max(bins) < 2 * len(rows) / 60
+
+
+def test_weights_that_are_none(spark):
+    df = spark.createDataFrame([(i, "a", "word word", w) for i, w in enumerate([None, 0.0, -1.0, float("nan"), 5.0, 5.0])], "doc_id bigint, source string, text string, w double")
+    targets = spark.createDataFrame([("a", 1.0, 1), (None, 0.5, 1)], TARGETS)
+    chosen = mixture(df, targets, weight=F.col("w"), total=4)[0].collect()
+    assert {r["doc_id"] for r in chosen} == {4, 5}
+
+
+def test_many_sources(spark):
+    """More sources than any list on the driver should hold."""
+    n = 12_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"), F.lit("one two").alias("text"))
+    targets = df.select("source", F.lit(1.0 / n).alias("target_share"), F.lit(1).alias("max_repeats"))
+    assert mixture(df, targets, weight=F.lit(1.0))[0].count() == n
