@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -14,9 +15,10 @@ from millrace.operators.components import connected_components
 from millrace.operators.prefix import hot_join, running_total, unit_hash
 from millrace.session import cut, table
 
-#: Bundles are solved on the driver. Components of one label have at most sqrt(2 * rows) sizes, so their number stays below
-#: labels * sqrt(2 * rows): 2 million for 10^12 rows and one label. More are refused.
-MAX_BUNDLES = 4_000_000
+#: Most bundles of equal size and label profile that the solver gets: sizes are told apart one by one as far as that keeps their number
+#: below it, whatever the corpus. So many of the largest components beyond are bundles of their own; the rest are bundled by quarter
+#: powers of two of their size and eighths of their labels, and dealt by rows.
+MOST_BUNDLES, LARGEST = 60_000, 20_000
 SEED = 4711
 
 
@@ -39,7 +41,7 @@ def tied_groups(df: DataFrame, key: str, ties: dict[str, Column]) -> DataFrame:
     """
     names = sorted(ties)
     reserved = {"_node", "_group", "_size", "n", *[f"_t{i}" for i in range(len(names))]}
-    tagged = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in reserved or c == key], *[F.when(ties[n].isNotNull(), F.concat(F.lit(f"{i}:"), ties[n].cast("string"))).alias(f"_t{i}") for i, n in enumerate(names)])
+    tagged = cut(df.select(*[F.col(f"`{c}`") for c in df.columns if c not in reserved or c == key], *[F.when(ties[n].isNotNull(), F.concat(F.lit(f"{i}:"), ties[n].cast("string"))).alias(f"_t{i}") for i, n in enumerate(names)]))
     columns = [f"_t{i}" for i in range(len(names))]
     links = None
     for c in columns[1:]:
@@ -105,83 +107,139 @@ def min_cost_flow(arcs: Sequence[tuple[str, str, int, int]], source: str, sink:
     return dict(flow), total
 
 
-def allocate(bundles: Sequence[tuple[int, str, int]], shares: dict[str, float], *, move: int = 1, deviate: int = 4) -> dict[tuple[int, str], dict[str, int]]:
-    """Components of each bundle (size, label, components) that each split receives.
+def bundle_flow(rows: Sequence[int], costs: Sequence[Sequence[float]], quotas: Sequence[int], deviate: float) -> tuple[list[list[int]], float]:
+    """Rows that each bundle sends to each split, at least total cost, and that cost.
 
-    The flow sends rows from labels to splits: a row that changes its label costs move, a row beyond the quota of its split costs
-    deviate. Bundles of one label differ in size only, which costs nothing in the flow, so they share its nodes. Rounding: large
-    components first, each bundle's components go to splits in proportion to what its label still has to send, whole components
-    only; a component for which no split has room goes where the quota is passed by least.
+    A row of bundle i in split s costs costs[i][s]; a row beyond the quota of a split costs deviate besides. As min_cost_flow over the
+    arcs source - bundle - split - sink, with the bundles folded into arcs between the splits: bundles come one after the other, and
+    each is sent along shortest paths on which rows of former bundles may move from split to split. So a step costs splits cubed.
+    """
+    k = len(quotas)
+    flow = [[0] * k for _ in rows]
+    room = list(quotas)
+    moves: list[list[list[tuple[float, int]]]] = [[[] for _ in range(k)] for _ in range(k)]
+    total = 0.0
+    for i, supply in enumerate(rows):
+        left = supply
+        while left > 0:
+            best = {}
+            for a in range(k):
+                for b in range(k):
+                    heap = moves[a][b]
+                    while heap and flow[heap[0][1]][a] == 0:
+                        heapq.heappop(heap)
+                    if a != b and heap:
+                        best[a, b] = heap[0]
+            dist, back = list(costs[i]), [None] * k
+            for _ in range(k):
+                for (a, b), (c, _) in best.items():
+                    if dist[a] + c < dist[b] - 1e-12:
+                        dist[b], back[b] = dist[a] + c, a
+            end = min(range(k), key=lambda s: (dist[s] + (0.0 if room[s] > 0 else deviate), s))
+            push, s = (min(left, room[end]) if room[end] > 0 else left), end
+            path = []
+            while back[s] is not None:
+                path.append((back[s], s, best[back[s], s][1]))
+                push = min(push, flow[path[-1][2]][back[s]])
+                s = back[s]
+            for a, b, j in path:
+                flow[j][a] -= push
+                flow[j][b] += push
+                for c in range(k):
+                    if c != b:
+                        heapq.heappush(moves[b][c], (costs[j][c] - costs[j][b], j))
+            flow[i][s] += push
+            for c in range(k):
+                if c != s:
+                    heapq.heappush(moves[s][c], (costs[i][c] - costs[i][s], i))
+            total += push * (dist[end] + (0.0 if room[end] > 0 else deviate))
+            room[end] -= push
+            left -= push
+    return flow, total
+
+
+def allocate(bundles: Sequence[tuple[int, tuple[int, ...], int]], shares: dict[str, float], *, move: float = 1.0, deviate: float = 4.0, loose: Sequence[tuple[int, tuple[float, ...]]] = ()) -> tuple[list[dict[str, int]], list[dict[str, int]], float]:
+    """Components of each bundle (size, rows of each split's label, components) that each split gets; rows of each loose bundle; the cost.
+
+    Splits in sorted order. A row that changes its label costs move, a row beyond the quota of its split costs deviate; rows without a
+    label of a split cost nothing. Loose bundles (rows, part of them with each split's label) may be parted anywhere. The flow is made
+    integral bundle by bundle, large components first: a bundle gives each split the whole components of what the flow sends there and
+    what the split still lacks of former bundles; components left over go where most is lacking.
     """
-    rows = sum(s * c for s, _, c in bundles)
     splits = sorted(shares)
-    whole = sum(shares.values()) or 1.0
-    quota = {s: int(rows * shares[s] / whole) for s in splits}
-    quota[max(splits, key=lambda s: (shares[s], s))] += rows - sum(quota.values())
-    by_label: dict[str, int] = defaultdict(int)
-    for size, label, n in bundles:
-        by_label[label] += size * n
-    arcs = [("source", f"label {x}", n, 0) for x, n in sorted(by_label.items())]
-    arcs += [(f"label {x}", f"split {s}", rows, 0 if x == s or x not in shares else move) for x in sorted(by_label) for s in splits]
-    arcs += [(f"split {s}", "sink", quota[s], 0) for s in splits] + [(f"split {s}", "sink", rows, deviate) for s in splits]
-    flow, _ = min_cost_flow(arcs, "source", "sink")
-    owed = {(x, s): sum(n for (a, b, _), n in flow.items() if (a, b) == (f"label {x}", f"split {s}")) for x in by_label for s in splits}
-    room = dict(quota)
-    out: dict[tuple[int, str], dict[str, int]] = {}
-    for size, label, n in sorted(bundles, key=lambda b: (-b[0], b[1])):
-        given = dict.fromkeys(splits, 0)
-        want = {s: max(0, owed[label, s]) for s in splits}
-        all_want = sum(want.values()) or 1
-        left = n
-        for s in sorted(splits, key=lambda s: (-want[s], s)):
-            k = min(left, int(n * want[s] / all_want), max(0, room[s]) // size)
-            given[s] += k
-            left -= k
-            room[s] -= k * size
-        while left:
-            s = max(splits, key=lambda s: (min(room[s], size), owed[label, s] - given[s] * size, room[s], s))
-            k = max(1, min(left, min(max(0, room[s]), max(size, owed[label, s] - given[s] * size)) // size))
-            given[s] += k
-            left -= k
-            room[s] -= k * size
-        for s in splits:
-            owed[label, s] -= given[s] * size
-        out[size, label] = given
-    return out
+    rows = [s * n for s, _, n in bundles] + [r for r, _ in loose]
+    every, whole = sum(rows), sum(shares.values()) or 1.0
+    quota = [int(every * shares[s] / whole) for s in splits]
+    quota[max(range(len(splits)), key=lambda i: (shares[splits[i]], i))] += every - sum(quota)
+    costs = [[move * (sum(labels) - labels[i]) / size for i in range(len(splits))] for size, labels, _ in bundles]
+    costs += [[move * (sum(parts) - parts[i]) for i in range(len(splits))] for _, parts in loose]
+    flow, cost = bundle_flow(rows, costs, quota, deviate)
+    lacking = [0] * len(splits)
+    out: list[dict[str, int]] = [{}] * len(bundles)
+    for j in sorted(range(len(bundles)), key=lambda j: (-bundles[j][0], bundles[j][1])):
+        size, _, n = bundles[j]
+        lacking = [x + f for x, f in zip(lacking, flow[j], strict=True)]
+        given = [0] * len(splits)
+        for i in sorted(range(len(splits)), key=lambda i: (-lacking[i], i)):
+            given[i] = min(n - sum(given), max(0, lacking[i]) // size)
+        while sum(given) < n:
+            given[max(range(len(splits)), key=lambda i: (lacking[i] - given[i] * size, -costs[j][i], shares[splits[i]], -i))] += 1
+        lacking = [x - g * size for x, g in zip(lacking, given, strict=True)]
+        out[j] = dict(zip(splits, given, strict=True))
+    return out, [dict(zip(splits, f, strict=True)) for f in flow[len(bundles) :]], cost
+
+
+def exact_size(splits: int) -> int:
+    """Greatest size up to which all label profiles of so many splits, and rows without one, make no more than MOST_BUNDLES bundles."""
+    size = 1
+    while math.comb(size + 1 + splits + 1, splits + 1) <= MOST_BUNDLES:
+        size += 1
+    return size
 
 
 def grouped_split(df: DataFrame, key: str, ties: dict[str, Column], targets: DataFrame, split: str, share: str, out: str = "new_split") -> DataFrame:
-    """df's key with its group, its present split and a new one near the target shares; no group is parted.
+    """df's key with its group, the rows of its group, its present split and a new one near the target shares; no group is parted.
 
-    A group's label is its most frequent present split (ties: the smaller; none where all are null). Groups of one size and label are
-    a bundle; what each split gets of a bundle comes from a min-cost flow, and its members are dealt by the hash of their group, so
-    the result depends on neither order nor partitions. A group larger than every quota goes to the split with most room.
+    Groups of one size and label profile (rows of each target split's label) are a bundle; what each split gets of a bundle comes from
+    a min-cost flow, made integral, and its members are dealt by the hash of their group, so the result depends on neither order nor
+    partitions. The solver's input is bounded (MOST_BUNDLES, LARGEST); beyond it groups are bundled more coarsely, none is left out.
+    A group larger than every quota goes where most rows are lacking. Targets are a table made by hand, one row a split.
     """
     spark = df.sparkSession
-    tied = df.select(F.col(key), F.col(split).alias("_old"), *[ties[t].cast("string").alias(f"_tie{i}") for i, t in enumerate(sorted(ties))])
-    grouped = cut(tied_groups(tied, key, {t: F.col(f"_tie{i}") for i, t in enumerate(sorted(ties))}).select(key, "_old", "_group", "_size"))
-    per = grouped.groupBy("_group", "_old").agg(F.count("*").alias("n"), F.max("_size").alias("_size"))
-    ordered = F.struct(F.when(F.col("_old").isNull(), 0).otherwise(F.col("n")).alias("n"), F.col("_old").alias("label"))
-    least = per.groupBy("_group").agg(F.max("_size").alias("_size"), F.max(ordered).alias("_top"))
-    comps = cut(least.select("_group", "_size", F.coalesce("_top.label", F.lit("")).alias("_label"), unit_hash(F.col("_group"), F.lit(SEED)).alias("_at")))
-    bundle_rows = comps.groupBy("_size", "_label").agg(F.count("*").alias("n")).limit(MAX_BUNDLES + 1).collect()
-    if len(bundle_rows) > MAX_BUNDLES:
-        raise ValueError(f"more than {MAX_BUNDLES} bundles")
     shares = {r[0]: r[1] for r in targets.where(F.col(split).isNotNull()).select(split, share).collect()}
     if not shares:
         raise ValueError("no target shares")
-    dealt = allocate([(r[0], r[1], r[2]) for r in bundle_rows], shares) if bundle_rows else {}
+    splits = sorted(shares)
+    tied = df.select(F.col(key), F.col(split).alias("_old"), *[ties[t].cast("string").alias(f"_tie{i}") for i, t in enumerate(sorted(ties))])
+    grouped = cut(tied_groups(tied, key, {t: F.col(f"_tie{i}") for i, t in enumerate(sorted(ties))}).select(key, "_old", "_group", "_size"))
+    counts = [F.sum((F.col("_old") == s).cast("long")) for s in splits]
+    sums = grouped.groupBy("_group").agg(F.max("_size").alias("_size"), F.array(*[F.coalesce(c, F.lit(0)) for c in counts]).alias("_labels"))
+    least = exact_size(len(splits))
+    comps = cut(sums.withColumn("_at", unit_hash(F.col("_group"), F.lit(SEED))))
+    large = comps.where(F.col("_size") > least).orderBy(F.desc("_size"), "_at", "_group").limit(LARGEST).collect()
+    own = spark.createDataFrame([(r["_group"],) for r in large], comps.select("_group").schema)
+    rest = comps.join(F.broadcast(own), "_group", "left_anti").withColumn("_loose", F.col("_size") > least)
+    rest = rest.withColumn("_class", F.when(F.col("_loose"), F.floor(4 * F.log2("_size"))).otherwise(F.col("_size"))).withColumn("_profile", F.when(F.col("_loose"), F.transform("_labels", lambda n: F.round(8 * n / F.col("_size")).cast("long"))).otherwise(F.col("_labels")))
+    rest = rest.withColumn("_bundle", F.concat_ws(" ", "_loose", "_class", F.array_join(F.transform("_profile", lambda n: n.cast("string")), ",")))
+    found = rest.groupBy("_bundle", "_loose", "_class", "_profile").agg(F.count("*").alias("n"), F.sum("_size").alias("rows")).collect()
+    exact, coarse = sorted((r for r in found if not r["_loose"]), key=lambda r: r["_bundle"]), sorted((r for r in found if r["_loose"]), key=lambda r: r["_bundle"])
+    bundles = [(r["_size"], tuple(r["_labels"]), 1) for r in large] + [(r["_class"], tuple(r["_profile"]), r["n"]) for r in exact]
+    dealt, poured, _ = allocate(bundles, shares, loose=[(r["rows"], tuple(x / 8 for x in r["_profile"])) for r in coarse])
+    placed = [(r["_group"], next(s for s, n in given.items() if n)) for r, given in zip(large, dealt, strict=False)]
     cuts = []
-    for (size, label), given in sorted(dealt.items()):
+    for r, given, unit in [*((r, g, r["_class"]) for r, g in zip(exact, dealt[len(large) :], strict=True)), *((r, g, 1) for r, g in zip(coarse, poured, strict=True))]:
         top = 0
-        for s in sorted(given):
+        for s in splits:
             if given[s]:
-                cuts.append((size, label, top, top + given[s], s))
-                top += given[s]
-    ranges = spark.createDataFrame(cuts, "_size long, _label string, _above long, _upto long, _new string")
-    ranked = running_total(comps.withColumn("_one", F.lit(1).cast("long")), ["_size", "_label"], "_at", ["_group"], "_one", "_rank")
-    chosen = ranked.join(ranges, ["_size", "_label"]).where((F.col("_rank") > F.col("_above")) & (F.col("_rank") <= F.col("_upto")))
-    return hot_join(grouped, chosen.select("_group", F.col("_new").alias(out), F.col("_size").alias("_rows")), "_group", "_rows").select(key, F.col("_group").alias(f"group_{key}"), F.col("_old").alias(split), out)
+                cuts.append((r["_bundle"], top, top + given[s] * unit, s))
+                top += given[s] * unit
+    ranges = spark.createDataFrame(cuts, "_bundle string, _above long, _upto long, _new string")
+    ranked = running_total(rest, ["_bundle"], "_at", ["_group"], "_size", "_run")
+    middle = F.col("_run") - F.col("_size") / 2
+    chosen = ranked.join(ranges, "_bundle").where((middle > F.col("_above")) & (middle <= F.col("_upto"))).select("_group", "_size", "_new")
+    individual = comps.join(F.broadcast(spark.createDataFrame(placed, own.schema.add("_new", "string"))), "_group").select("_group", "_size", "_new")
+    every = cut(chosen.unionByName(individual)).select("_group", F.col("_new").alias(out), F.col("_size").alias("_rows"))
+    return hot_join(grouped.select(key, "_old", "_group", F.col("_size").alias("group_rows")), every, "_group", "_rows").select(key, F.col("_group").alias(f"group_{key}"), "group_rows", F.col("_old").alias(split), out)
 
 
 def _ties() -> dict[str, Column]:
@@ -203,18 +261,21 @@ QUALIFY count(*) OVER (PARTITION BY root) > 1
 """
 
 
+def _dealt(spark: SparkSession, root: str) -> DataFrame:
+    recipes = table(spark, root, "recipes_structured").select("recipe_id", "dup_family_id", "sourcesite", "split_v3")
+    return grouped_split(recipes, "recipe_id", _ties(), table(spark, root, "split_targets"), "split_v3", "target_share")
+
+
 @R.query("p6_found", _FOUND)
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """recipe_id, group_recipe_id of every recipe tied to another."""
-    recipes = table(spark, root, "recipes_structured").select("recipe_id", "dup_family_id", "sourcesite")
-    return tied_groups(recipes, "recipe_id", _ties()).where("_size > 1").select("recipe_id", F.col("_group").alias("group_recipe_id"))
+    return _dealt(spark, root).where("group_rows > 1").select("recipe_id", "group_recipe_id")
 
 
 @R.query("p6_splits")
 def p6_splits(spark: SparkSession, root: str) -> DataFrame:
     """recipe_id, group_recipe_id, split_v3 and new_split of every recipe."""
-    recipes = table(spark, root, "recipes_structured").select("recipe_id", "dup_family_id", "sourcesite", "split_v3")
-    return grouped_split(recipes, "recipe_id", _ties(), table(spark, root, "split_targets"), "split_v3", "target_share")
+    return _dealt(spark, root).drop("group_rows")
 
 
 @R.query("p6_shares")

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm.splits import allocate, grouped_split, host, min_cost_flow, tied_groups
+from millrace.llm.splits import allocate, bundle_flow, exact_size, grouped_split, host, min_cost_flow, tied_groups
 
 
 @pytest.mark.parametrize("text", ["a-b.example", " A-B.example", "https://a-b.example", "http://www.a-b.example/", "www.a-b.example", "a-b.example/x?y#z", "a-b.example:80", "https://me@a-b.example/"])
@@ -63,16 +63,75 @@ def test_flow():
     assert cost == 5 and sum(n for (a, _, _), n in flow.items() if a == "s") == 5
 
 
+def test_bundle_flow_is_cheapest():
+    """As the general solver over the arcs source - bundle - split - sink."""
+    r = random.Random(5)
+    for _ in range(60):
+        k, n = r.randrange(2, 5), r.randrange(1, 9)
+        rows = [r.randrange(1, 12) for _ in range(n)]
+        costs = [[r.randrange(0, 5) for _ in range(k)] for _ in range(n)]
+        quotas = [r.randrange(0, 15) for _ in range(k)]
+        flow, cost = bundle_flow(rows, costs, quotas, 4)
+        arcs = [("source", f"b{i}", x, 0) for i, x in enumerate(rows)] + [(f"b{i}", f"s{j}", rows[i], costs[i][j]) for i in range(n) for j in range(k)]
+        arcs += [(f"s{j}", "sink", quotas[j], 0) for j in range(k)] + [(f"s{j}", "sink", sum(rows), 4) for j in range(k)]
+        assert abs(cost - min_cost_flow(arcs, "source", "sink")[1]) < 1e-6
+        assert [sum(f) for f in flow] == rows and all(x >= 0 for f in flow for x in f)
+
+
 def test_allocate_meets_quotas():
     r = random.Random(2)
-    bundles = {(r.randrange(1, 6), r.choice(["train", "val", "test", ""])): r.randrange(1, 60) for _ in range(30)}
-    got = allocate([(s, l, n) for (s, l), n in bundles.items()], {"train": 0.8, "val": 0.1, "test": 0.1})
-    total, rows = sum(s * n for (s, _), n in bundles.items()), defaultdict(int)
-    for (s, l), given in got.items():
-        assert sum(given.values()) == bundles[s, l]
-        for k, n in given.items():
-            rows[k] += s * n
-    assert abs(rows["train"] - 0.8 * total) <= 6 and abs(rows["val"] - 0.1 * total) <= 6
+    bundles = []
+    for _ in range(30):
+        size = r.randrange(1, 6)
+        labels = [0, 0, 0]
+        for _ in range(size):
+            if (x := r.randrange(4)) < 3:
+                labels[x] += 1
+        bundles.append((size, tuple(labels), r.randrange(1, 60)))
+    got, _, cost = allocate(bundles, {"train": 0.8, "val": 0.1, "test": 0.1})
+    total, rows = sum(s * n for s, _, n in bundles), defaultdict(int)
+    for (s, _, n), given in zip(bundles, got, strict=True):
+        assert sum(given.values()) == n
+        for k, x in given.items():
+            rows[k] += s * x
+    assert abs(rows["train"] - 0.8 * total) <= 6 and abs(rows["val"] - 0.1 * total) <= 6 and cost >= 0
+
+
+def test_profile_counts_beyond_the_majority():
+    """Equal majority labels, other profiles: the components that lose fewest labels move."""
+    bundles = [(5, (0, 3, 2), 1), (5, (0, 5, 0), 1), (5, (2, 3, 0), 1)]  # test, train, val
+    got, _, cost = allocate(bundles, {"train": 1 / 3, "val": 1 / 3, "test": 1 / 3})
+    assert got == [{"test": 0, "train": 0, "val": 1}, {"test": 0, "train": 1, "val": 0}, {"test": 1, "train": 0, "val": 0}] and cost == 6
+
+
+def test_coarse_bundles(spark, monkeypatch):
+    """Beyond the bounds groups are bundled more coarsely: none parted or lost, shares kept."""
+    from millrace.llm import splits
+
+    r = random.Random(9)
+    data, i = [], 0
+    for g in range(300):
+        for _ in range(r.randrange(1, 30)):
+            data.append((i, f"a{g}", None, r.choice(["train", "train", "val", "test", None]), 5, 6))
+            i += 1
+    df = spark.createDataFrame(data, SCHEMA)
+    targets = spark.createDataFrame([("train", 0.8), ("val", 0.1), ("test", 0.1)], "split string, share double")
+    shares = []
+    for most, largest in ((60_000, 20_000), (5, 3), (5, 2)):
+        monkeypatch.setattr(splits, "MOST_BUNDLES", most)
+        monkeypatch.setattr(splits, "LARGEST", largest)
+        out = grouped_split(df, "id", {"a": F.col("a")}, targets, "split", "share").collect()
+        assert len(out) == len(data)
+        by = defaultdict(set)
+        for x in out:
+            by[x["group_id"]].add(x["new_split"])
+        assert all(len(s) == 1 for s in by.values())
+        shares.append(sum(x["new_split"] == "train" for x in out) / len(out))
+    assert abs(shares[0] - 0.8) < 0.01 and all(abs(s - 0.8) < 0.06 for s in shares)
+
+
+def test_exact_size():
+    assert 30 < exact_size(3) < 34 and exact_size(1) > 300 and exact_size(30) >= 1
 
 
 def test_split(spark):
