@@ -41,3 +41,16 @@ def test_share_and_llr(spark):
 
 def test_empty(spark):
     assert found(spark, []).count() == 0 and found(spark, [None, []]).count() == 0
+
+
+def test_beyond_the_list_and_with_small_stripes(spark, monkeypatch):
+    """The same result where rare items aren't left out early and stripes are sent at every chance."""
+    from millrace.llm import pairs
+
+    r = random.Random(6)
+    records = [[r.choice("abcdefghij") for _ in range(r.randrange(9))] for _ in range(300)]
+    monkeypatch.setattr(pairs, "MAX_LISTED", 2)
+    monkeypatch.setattr(pairs, "CHUNK", 50)
+    monkeypatch.setattr(pairs, "CELLS", 5)
+    got = {(x["item_a"], x["item_b"], x["c_ab"], x["c_a"], x["c_b"], x["n"]) for x in found(spark, records, min_count=5).collect()}
+    assert got == brute(records, 5)
