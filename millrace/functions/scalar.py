@@ -151,3 +151,27 @@ def tier_map(c: Column) -> Column:
 def salt_from_sodium(sodium_mg: Column) -> Column:
     """Grams of salt of milligrams of sodium."""
     return sodium_mg * 0.0025
+
+
+def row_sum(*columns: str) -> Column:
+    """The sum of a row's columns, nulls as nothing; null where all are null."""
+    some = F.coalesce(*[F.col(c) for c in columns])
+    return F.when(some.isNotNull(), sum((F.coalesce(F.col(c), F.lit(0)) for c in columns[1:]), F.coalesce(F.col(columns[0]), F.lit(0))))
+
+
+def date_after(base: str, days: Column) -> Column:
+    """The date so many days after a base date; null without days."""
+    return F.date_add(F.lit(base).cast("date"), days.cast("int"))
+
+
+def without_suffixes(c: Column, suffixes: Sequence[str]) -> Column:
+    """A name in lower case, blanks collapsed, without the suffix words at its end, however many; a name of suffixes only is empty."""
+    words = "|".join(suffixes)
+    return F.trim(F.regexp_replace(F.trim(F.regexp_replace(F.lower(c), r"\s+", " ")), rf"(?:(?:^| )(?:{words}))+$", ""))
+
+
+def surnames(c: Column, *, least: int = 3) -> Column:
+    """The words of people's names that may be surnames: all but the first of each name between commas, ; or &, in lower case, from so many letters on."""
+    names = F.filter(F.transform(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[,;&]"), lambda x: F.trim(x)), lambda x: x != "")
+    words = F.flatten(F.transform(names, lambda x: F.slice(F.split(x, r"\s+"), 2, 1000)))
+    return F.array_sort(F.array_distinct(F.filter(words, lambda w: F.length(w) >= least)))

@@ -172,6 +172,32 @@ def review_queue(grid: DataFrame, reasons: Sequence[str], key: str) -> DataFrame
     return grid.withColumn("why", F.array_join(why, ",")).where("why <> ''").select(key, "class", "legacy_status", "kind", "status", "why")
 
 
+def wide_surface(grid: DataFrame, key: str, status: str, tokens: Mapping[str, str | None]) -> DataFrame:
+    """key and per token two flags: token (present) and token_unassessed, from a long grid of key, class and status.
+
+    tokens is the vocabulary: each token with the token it is derived from, which is present wherever it is; a token derived from an
+    undeclared one raises. A class outside the vocabulary is left out; a key without a row for a token has false for both.
+    """
+    bad = sorted(t for t, parent in tokens.items() if parent is not None and parent not in tokens)
+    if bad:
+        raise ValueError(f"derived from undeclared tokens: {bad}")
+
+    def under(token: str) -> list[str]:
+        return [token, *(x for t, parent in tokens.items() if parent == token for x in under(t))]
+
+    has = lambda names, value: F.coalesce(F.bool_or(F.col("class").isin(*names) & (F.col(status) == value)), F.lit(False))
+    return grid.groupBy(key).agg(*[x for t in tokens for x in (has(under(t), "present").alias(t), has([t], "unassessed").alias(f"{t}_unassessed"))])
+
+
+def wide_problems(wide: DataFrame, grid: DataFrame, key: str, status: str, tokens: Mapping[str, str | None]) -> DataFrame:
+    """check, n of a wide surface against its grid: tokens whose count is less than the grid's, and rows with a token but not its parent."""
+    long = grid.where(F.col(status) == "present").groupBy("class").agg(F.countDistinct(key).alias("want"))
+    counts = wide.agg(F.array(*[F.struct(F.lit(t).alias("class"), F.sum(F.col(t).cast("long")).alias("got")) for t in tokens]).alias("x")).select(F.explode("x").alias("x")).select("x.class", "x.got")
+    short = counts.join(long, "class", "left").where(F.coalesce("got", F.lit(0)) < F.coalesce("want", F.lit(0))).agg(F.lit("fewer than in the grid").alias("check"), F.count("*").alias("n"))
+    orphan = sum((F.col(t) & ~F.col(p)).cast("long") for t, p in tokens.items() if p) if any(tokens.values()) else F.lit(0)
+    return short.unionByName(wide.agg(F.lit("token without its parent").alias("check"), F.coalesce(F.sum(orphan), F.lit(0)).cast("long").alias("n")))
+
+
 def method_status(text: Column, patterns: Mapping[str, str], *, least: int = LEAST_METHOD, most: int = MOST_PLACEHOLDER) -> Column:
     """MISSING, PLACEHOLDER, NOT_A_METHOD, TRUNCATED or COMPLETE of a method text.
 

@@ -14,28 +14,32 @@ def closed_tags(rules: DataFrame) -> DataFrame:
     return joined.groupBy("rule_uid").agg(F.array_sort(F.array_distinct(F.flatten(F.concat(F.collect_list("more"), F.collect_list("tags"))))).alias("tags"))
 
 
-def standing_rules(rules: DataFrame) -> DataFrame:
-    """group, rule_uid: a group's standing rule; of several the one of the greatest rule_uid."""
-    return rules.select(F.explode("standing_for_groups").alias("group"), "rule_uid").groupBy("group").agg(F.max("rule_uid").alias("standing_uid"))
+def standing_rules(rules: DataFrame, order: str = "rule_uid") -> DataFrame:
+    """group, standing_uid: a group's standing rule; of several the last by the column order, ties by rule_uid."""
+    last = F.max_by("rule_uid", F.struct(F.col(order).alias("o"), F.col("rule_uid").alias("u")))
+    return rules.select(F.explode("standing_for_groups").alias("group"), *{order: 1, "rule_uid": 1}).groupBy("group").agg(last.alias("standing_uid"))
 
 
-def decide(requests: DataFrame, occasions: DataFrame, rules: DataFrame) -> DataFrame:
+def decide(requests: DataFrame, occasions: DataFrame, rules: DataFrame, order: str = "rule_uid") -> DataFrame:
     """The requests with state, item_value, abstain and governing (the rules that decided).
 
     requests: occasion_uid and item (map of tag to boolean, the tags assessed). occasions: occasion_uid, group, rule_uid, status. rules:
     rule_uid, rule_class (narrowing, admits_nothing, no_exclusion), source_executable, destination_executable, excludes_tags,
     also_excludes_from_uids, standing_for_groups. An undeclared occasion isn't applicable, an unknown one has insufficient evidence,
-    and nothing unknown ever passes. Rule tables are made by hand; they are broadcast only by Spark's own size estimate.
+    and nothing unknown ever passes. A standing rule of the group holds besides a narrowing rule whatever its own class and flags, unless
+    that rule already excludes from it; where the occasion itself excludes nothing, it holds if it narrows and its source can be
+    evaluated. order tells which of several standing rules is the last. Rule tables are made by hand; they are broadcast only by Spark's own size estimate.
     """
+    also = rules.select("rule_uid", F.coalesce("also_excludes_from_uids", F.array().cast("array<string>")).alias("also"))
     r = rules.select("rule_uid", "rule_class", "source_executable", "destination_executable").join(closed_tags(rules), "rule_uid")
     o = occasions.select("occasion_uid", F.col("group").alias("_g"), F.col("rule_uid").alias("_ru"), F.col("status").alias("_st"), F.lit(True).alias("_known"))
-    first = r.toDF("_ru", "_c", "_src", "_dst", "_tags")
-    stand = standing_rules(rules).join(r, F.col("standing_uid") == F.col("rule_uid")).select(F.col("group").alias("_g"), F.col("standing_uid").alias("_su"), F.col("rule_class").alias("_sc"), F.col("source_executable").alias("_ss"), F.col("destination_executable").alias("_sd"), F.col("tags").alias("_stags"))
+    first = r.join(also, "rule_uid").toDF("_ru", "_c", "_src", "_dst", "_tags", "_also")
+    stand = standing_rules(rules, order).join(r, F.col("standing_uid") == F.col("rule_uid")).select(F.col("group").alias("_g"), F.col("standing_uid").alias("_su"), F.col("rule_class").alias("_sc"), F.col("source_executable").alias("_ss"), F.col("destination_executable").alias("_sd"), F.col("tags").alias("_stags"))
     j = requests.join(o, "occasion_uid", "left").join(first, "_ru", "left").join(stand, "_g", "left")
     narrow = F.col("_c") == "narrowing"
     open_rule = F.coalesce(F.col("_c") == "no_exclusion", F.lit(False)) | (F.col("_ru").isNull() & (F.col("_st") == "confirmed_no_constraint"))
     standing = F.coalesce((F.col("_sc") == "narrowing") & F.col("_ss"), F.lit(False))
-    extra = standing & (F.col("_su") != F.col("_ru"))
+    extra = F.coalesce(F.col("_su").isNotNull() & (F.col("_su") != F.col("_ru")) & ~F.array_contains("_also", F.col("_su")), F.lit(False))
 
     def per_item(tags: Column, executable: Column) -> Column:
         true = F.exists(tags, lambda t: (t == "*") | F.coalesce(F.try_element_at(F.col("item"), t), F.lit(False)))

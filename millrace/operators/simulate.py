@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.audits import calibrated_mu
 from millrace.operators.prefix import unit_hash
 
 
@@ -74,10 +75,10 @@ def simulate_choices(spark: SparkSession, items: DataFrame, item: str, features:
 
 
 def activity_counts(df: DataFrame, key: str, mean: float, sigma: float, low: int, high: int, seed: int, out: str = "n") -> DataFrame:
-    """A lognormal count per key, within bounds; mean is that of the unbounded distribution."""
+    """A lognormal count per key, rounded and within bounds, of which mean is the expected value."""
     u1, u2 = unit_hash(F.col(key), F.lit(seed)), unit_hash(F.col(key), F.lit(seed + 1))
     normal = F.sqrt(-2 * F.log(u1)) * F.cos(2 * 3.141592653589793 * u2)
-    mu = float(np.log(mean) - sigma * sigma / 2)
+    mu = calibrated_mu(mean, sigma, low, high)
     return df.withColumn(out, F.greatest(F.lit(low), F.least(F.lit(high), F.round(F.exp(F.lit(mu) + sigma * normal)).cast("int"))))
 
 

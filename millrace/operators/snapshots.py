@@ -46,7 +46,8 @@ def validity_intervals(df: DataFrame, snapshot: str, key: str, delivered: str, c
 
     Columns: _k (key), _from and _to (snapshot numbers), _prev_to and _next_from (of the key's neighbouring intervals), _last
     (number of the last snapshot), and the keep columns as of the interval's first and last row (first_<c>, last_<c>).
-    Only the hash of the compared columns travels through the shuffle. Null equals null.
+    The shuffle by key carries only the hash of the compared columns; the one before it carries them as they stand, since they settle
+    ties of the delivery time. Null equals null.
     """
     rows, last = _numbered(latest_rows(df, snapshot, key, delivered, list(dict.fromkeys([*compared, *keep]))), df, snapshot)
     slim = rows.select("_k", "_n", last.alias("_last"), row_digest(*compared).alias("_h"), *[F.col(c).alias(f"_v_{c}") for c in keep])

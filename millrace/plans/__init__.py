@@ -6,7 +6,7 @@ from importlib import import_module
 
 from millrace.plans.registry import Query
 
-MODULES = ("packed", "snapshots", "relational", "ranking", "quality", "graphs", "logs", "extra", "audits")
+MODULES = ("packed", "snapshots", "relational", "ranking", "quality", "graphs", "logs", "extra", "audits", "more")
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:

@@ -40,19 +40,23 @@ def candidate_names(spark: SparkSession, root: str) -> DataFrame:
     return A.candidate_names(table(spark, root, "documents"), "text", ["by", "Thanks to"], 20)
 
 
-@R.query("ids_in_text", "SELECT id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(list_distinct(regexp_split_to_array(coalesce(text, ''), '[\\s,;|\"]+'))) AS id FROM documents) WHERE id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_partkey BETWEEN 100 AND 400) GROUP BY id")
+@R.query("ids_in_text", "SELECT id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(list_distinct(regexp_split_to_array(coalesce(text, ''), '[\\s,;|\"]+'))) AS id FROM documents) WHERE id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part) GROUP BY id")
 def ids_in_text(spark: SparkSession, root: str) -> DataFrame:
-    return A.ids_in_text(table(spark, root, "documents"), "text", table(spark, root, "part").where("p_partkey BETWEEN 100 AND 400").select("p_partkey"))
+    return A.ids_in_text(table(spark, root, "documents"), "text", table(spark, root, "part").select("p_partkey"))
 
 
-@R.query("simulated_choices_verified", "SELECT unnest(['incomplete user', 'repeated item', 'unknown item', 'impossible chance']) AS \"check\", 0 AS n")
+@R.query("simulated_choices_verified", "SELECT * FROM (VALUES ('incomplete user', 2), ('repeated item', 1), ('unknown item', 1), ('impossible chance', 1)) t(\"check\", n)")
 def simulated_choices_verified(spark: SparkSession, root: str) -> DataFrame:
+    """A simulated log with planted faults: a lost choice, one told twice, an item that there isn't, a chance above one."""
     log = simulated_choices(spark, root)
+    of = lambda u, k: (F.col("user_id") == u) & (F.col("event_index") == k)
+    kept = log.where(~of(7, 3)).unionByName(log.where(of(9, 0)))
+    log = kept.withColumn("p_partkey", F.when(of(10, 0), F.lit(-5)).otherwise(F.col("p_partkey"))).withColumn("probability", F.when(of(11, 0), F.lit(1.5)).otherwise(F.col("probability")))
     return A.choice_problems(log, "user_id", "p_partkey", "event_index", 20, table(spark, root, "part").select("p_partkey"), "probability")
 
 
-@R.query("labels_with_parents", "SELECT recipe_id, array_to_string(list_sort(list_distinct(list_concat(t, CASE WHEN list_contains(t, 'ghee') THEN ['milk'] ELSE [] END))), ';') AS labels FROM (SELECT recipe_id, list_distinct(string_split(lower(allergens_v2), ';')) AS t FROM recipes_structured WHERE regexp_full_match(allergens_v2, '[a-z_;]+'))")
+@R.query("labels_with_parents", "SELECT recipe_id, array_to_string(list_sort(list_distinct(list_concat(t, CASE WHEN list_contains(t, 'ghee') THEN ['milk'] ELSE [] END))), ';') AS labels FROM (SELECT recipe_id, list_distinct(string_split(lower(allergens_v2), ';')) AS t FROM recipes_structured WHERE allergens_v2 IS NOT NULL)")
 def labels_with_parents(spark: SparkSession, root: str) -> DataFrame:
-    r = table(spark, root, "recipes_structured").where(F.col("allergens_v2").rlike(r"\A[a-z_;]+\z"))
+    r = table(spark, root, "recipes_structured").where("allergens_v2 IS NOT NULL")
     tokens = F.array_distinct(F.split(F.lower("allergens_v2"), ";"))
     return r.select("recipe_id", F.array_join(A.with_parents(tokens, {"ghee": "milk"}), ";").alias("labels"))

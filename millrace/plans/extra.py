@@ -96,10 +96,10 @@ def quoted_and_urls(spark: SparkSession, root: str) -> DataFrame:
     return d.select("doc_id", T.quoted_spans(F.col("text")).alias("quotes"), T.urls(F.col("text")).alias("urls"), T.has_control(F.col("text")).alias("control"), T.casefolded(F.substring_index("text", "\n", 1)).alias("first_line"))
 
 
-@R.query("tier_ledger", "WITH a AS (SELECT p_partkey, p_brand || ':' || CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS now, CASE WHEN p_partkey % 5 = 0 THEN 'gone:old;' ELSE '' END || p_brand || ':' || CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS prior FROM part WHERE p_partkey % 3 > 0) SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'gone' ELSE '' END AS removed, '' AS added, '' AS moved FROM a")
+@R.query("tier_ledger", "WITH a AS (SELECT p_partkey, p_brand || ':' || CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS now, CASE WHEN p_partkey % 5 = 0 THEN 'gone:old;' ELSE '' END || p_brand || ':' || CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS prior FROM part) SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'gone' ELSE '' END AS removed, '' AS added, '' AS moved FROM a")
 def tier_ledger(spark: SparkSession, root: str) -> DataFrame:
     tier = F.concat("p_brand", F.lit(":"), F.when(F.col("p_size") > 25, "large").otherwise("small"))
-    rows = table(spark, root, "part").where("p_partkey % 3 > 0").select("p_partkey", F.concat(F.when(F.col("p_partkey") % 5 == 0, "gone:old;").otherwise(""), tier).alias("prior"), tier.alias("now"))
+    rows = table(spark, root, "part").select("p_partkey", F.concat(F.when(F.col("p_partkey") % 5 == 0, "gone:old;").otherwise(""), tier).alias("prior"), tier.alias("now"))
     diff = G.tier_changes(rows, "p_partkey", "prior", "now")
     return diff.select("p_partkey", *[F.array_join(c, ",").alias(c) for c in ("removed", "added", "moved")])
 
@@ -111,13 +111,16 @@ def state_digest(spark: SparkSession, root: str) -> DataFrame:
     return D.logical_digest(p)
 
 
-@R.query("file_manifest")
+@R.query("file_manifest", "SELECT * FROM (VALUES ('differs', 1), ('missing', 1), ('undeclared', 1)) t(problem, n)")
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Files written by a query, with their digests, against the same files as declared: no problem is left."""
+    """Three files against a manifest that leaves out one, names one that isn't there and has a wrong digest of one."""
     path = _scratch(spark, "manifest")
-    table(spark, root, "nation").repartition(2).write.parquet(path)
-    files = D.file_digests(spark, path, "*.parquet")
-    return D.manifest_problems(files.select("path", "sha256"), files.select("path", "sha256"))
+    for name in ("nation", "region", "supplier"):
+        table(spark, root, name).coalesce(1).write.parquet(f"{path}/{name}")
+    files = D.file_digests(spark, path, "*.parquet").select("path", "sha256")
+    declared = files.where(~F.contains("path", F.lit("/nation/"))).withColumn("sha256", F.when(F.contains("path", F.lit("/region/")), F.lit("0")).otherwise(F.col("sha256")))
+    lost = spark.createDataFrame([(f"{path}/lost.parquet", "1")], "path string, sha256 string")
+    return D.manifest_problems(files, declared.unionByName(lost)).groupBy("problem").agg(F.count("*").cast("int").alias("n"))
 
 
 @R.query("units_declared")
@@ -175,10 +178,10 @@ def event_windows(spark: SparkSession, root: str) -> DataFrame:
     return event_counts(table(spark, root, "events"), "ts", "event_type")
 
 
-@R.query("user_region_crosswalk", "SELECT u.home_region, count(*) AS n_users, CASE WHEN r.home_region IS NULL THEN 'unreachable' ELSE 'reachable' END AS status FROM (SELECT coalesce(nullif(trim(home_region), ''), 'unknown') AS home_region FROM users) u LEFT JOIN (SELECT DISTINCT home_region FROM recipes_structured WHERE home_region IS NOT NULL AND home_region <> 'Aldane') r ON u.home_region = r.home_region GROUP BY ALL")
+@R.query("user_region_crosswalk", "SELECT u.home_region, count(*) AS n_users, CASE WHEN r.home_region IS NULL THEN 'unreachable' ELSE 'reachable' END AS status FROM (SELECT coalesce(nullif(trim(home_region), ''), 'unknown') AS home_region FROM users) u LEFT JOIN (SELECT DISTINCT home_region FROM recipes_structured WHERE home_region IS NOT NULL) r ON u.home_region = r.home_region GROUP BY ALL")
 def user_region_crosswalk(spark: SparkSession, root: str) -> DataFrame:
     users = table(spark, root, "users").select(X.or_unknown(F.trim("home_region")).alias("home_region")).groupBy("home_region").agg(F.count("*").alias("n_users"))
-    known = table(spark, root, "recipes_structured").where("home_region <> 'Aldane'").select("home_region").distinct().withColumn("_k", F.lit(True))
+    known = table(spark, root, "recipes_structured").where("home_region IS NOT NULL").select("home_region").distinct().withColumn("_k", F.lit(True))
     return users.join(known, "home_region", "left").select("home_region", "n_users", F.when(F.col("_k").isNull(), "unreachable").otherwise("reachable").alias("status"))
 
 

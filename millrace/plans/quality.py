@@ -116,10 +116,10 @@ def rating_bins(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-@R.query("text_cards", "SELECT recipe_id, 'name: ' || coalesce(nullif(trim(recipename), ''), 'unknown') || chr(10) || 'region: ' || coalesce(nullif(trim(home_region), ''), 'unknown') AS card FROM (SELECT recipe_id, CASE WHEN trim(coalesce(recipename, '')) = '' THEN NULL ELSE recipename END AS recipename, home_region FROM recipes_structured) WHERE recipename IS NULL OR recipename = trim(recipename)")
+@R.query("text_cards", "SELECT recipe_id, 'name: ' || coalesce(nullif(trim(recipename), ''), 'unknown') || chr(10) || 'region: ' || coalesce(nullif(trim(home_region), ''), 'unknown') AS card FROM recipes_structured")
 def text_cards(spark: SparkSession, root: str) -> DataFrame:
-    r = table(spark, root, "recipes_structured").where(X.is_blank(F.col("recipename")) | (F.col("recipename") == F.trim("recipename")))
-    return r.select("recipe_id", T.card({"name": F.col("recipename"), "region": F.col("home_region")}).alias("card"))
+    r = table(spark, root, "recipes_structured")
+    return r.select("recipe_id", T.card({"name": F.trim("recipename"), "region": F.col("home_region")}).alias("card"))
 
 
 @R.query("traffic_lights", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity <= 3 THEN 'green' WHEN l_quantity > 17.5 THEN 'red' WHEN l_quantity IS NOT NULL THEN 'amber' END AS band, l_quantity * 0.0025 AS salt FROM lineitem")
@@ -127,9 +127,9 @@ def traffic_lights(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", X.traffic_light(F.col("l_quantity"), 3, 17.5).alias("band"), X.salt_from_sodium(F.col("l_quantity")).alias("salt"))
 
 
-@R.query("text_tokens", "SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '[0-9]+'), ' ') AS numbers, length(text) = n_chars AS length_agrees, lower(coalesce(text, '')) LIKE '%minutes%' AS names_minutes FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[0-9]{16,}')")
+@R.query("text_tokens", "SELECT doc_id, array_to_string(regexp_extract_all(coalesce(text, ''), '[0-9]+'), ' ') AS numbers, length(text) = n_chars AS length_agrees, lower(coalesce(text, '')) LIKE '%minutes%' AS names_minutes FROM documents")
 def text_tokens(spark: SparkSession, root: str) -> DataFrame:
-    d = table(spark, root, "documents").where(~F.coalesce(F.col("text"), F.lit("")).rlike("[0-9]{16,}"))
+    d = table(spark, root, "documents")
     numbers = F.array_join(F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit("[0-9]+"), F.lit(0)), " ")
     return d.select("doc_id", numbers.alias("numbers"), (F.length("text") == F.col("n_chars")).alias("length_agrees"), F.contains(F.lower(F.coalesce("text", F.lit(""))), F.lit("minutes")).alias("names_minutes"))
 

@@ -237,3 +237,34 @@ def test_relational(spark, rows):
     assert L.same_rows(df, df.repartition(2)) and not L.same_rows(df, df.union(df))
     out = rows(L.unpivot_history(spark.createDataFrame([(1, "7", "x")], "k int, a string, b string"), "k", ["a", "b"], "g"))
     assert out == [(1, "a", "g", 7.0, None), (1, "b", "g", None, "x")]
+
+
+def test_standing_rules_never_lapse(spark):
+    """A standing rule holds besides a narrowing one whatever its own flags, unless that one already excludes from it; the last one counts."""
+    from millrace.operators import rules as U
+
+    schema = "rule_uid string, rule_class string, source_executable boolean, destination_executable boolean, excludes_tags array<string>, also_excludes_from_uids array<string>, standing_for_groups array<string>, at int"
+    rules = spark.createDataFrame([("n", "narrowing", True, True, ["meat"], None, None, 1), ("z", "narrowing", True, True, ["egg"], None, ["g"], 2), ("s", "narrowing", False, False, ["milk"], None, ["g"], 3), ("m", "narrowing", True, True, ["meat"], ["s"], None, 4)], schema)
+    occasions = spark.createDataFrame([("a", "g", "n", "rule"), ("b", "g", "m", "rule"), ("c", "g", None, "confirmed_no_constraint")], "occasion_uid string, group string, rule_uid string, status string")
+    asked = spark.createDataFrame([(o, {"meat": False, "milk": False, "egg": True}) for o in "abc"], "occasion_uid string, item map<string,boolean>")
+    got = {r["occasion_uid"]: r["item_value"] for r in U.decide(asked, occasions, rules, "at").collect()}
+    assert got == {"a": "UNKNOWN", "b": "PASS", "c": "NO_CONSTRAINT"}
+    assert U.decide(asked, occasions, rules).where("occasion_uid = 'a'").first()["item_value"] == "FAIL"
+
+
+def test_wide_surface(spark, rows):
+    grid = spark.createDataFrame([(1, "ghee", "present"), (1, "milk", "absent"), (2, "milk", "unassessed"), (2, "other", "present")], "id int, class string, status string")
+    tokens = {"milk": None, "ghee": "milk"}
+    wide = E.wide_surface(grid, "id", "status", tokens)
+    assert rows(wide) == [(1, True, False, True, False), (2, False, True, False, False)]
+    assert all(r["n"] == 0 for r in E.wide_problems(wide, grid, "id", "status", tokens).collect())
+    bad = wide.withColumn("milk", F.lit(False))
+    assert {r["check"]: r["n"] for r in E.wide_problems(bad, grid, "id", "status", tokens).collect()} == {"fewer than in the grid": 0, "token without its parent": 1}
+    with pytest.raises(ValueError, match="undeclared"):
+        E.wide_surface(grid, "id", "status", {"ghee": "milk"})
+
+
+def test_small_scalars(spark):
+    assert one(spark, X.surnames(F.col("x")), row=("Ana Maria Lopez & Bo Li; Cher",)) == ["lopez", "maria"]
+    assert one(spark, X.without_suffixes(F.col("x"), ["recipe", "easy"]), row=("Pea  Soup Easy Recipe",)) == "pea soup"
+    assert one(spark, X.row_sum("x", "y"), "x int, y int", (None, None)) is None and one(spark, X.row_sum("x", "y"), "x int, y int", (2, None)) == 2
