@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.session import cut
 
+#: Lists of items are sent to all tasks up to so many pairs of user and item in all (four bytes each).
+MAX_SENT = 32_000_000
+
 
 def dense_ids(df: DataFrame, c: str) -> DataFrame:
     """c, idx from 0 in sorted order; values are ordered in ranges over the cluster, never in one task."""
@@ -68,13 +76,107 @@ def item_similarity(train: DataFrame, user: str, item: str, *, most: int = 1000)
 
 
 def top_similar(train: DataFrame, user: str, item: str, k: int) -> DataFrame:
-    """user, item, rank: unseen items by the sum of their similarity to the user's items (ties: the smaller item)."""
-    seen = train.select(user, item).distinct()
-    scored = seen.join(item_similarity(train, user, item), item).groupBy(user, F.col("other").alias(item)).agg(F.round(F.sum("sim"), 9).alias("score"))
+    """user, item, rank: unseen items by the sum of their similarity to the user's items (ties: the smaller item).
+
+    Of up to MAX_SENT distinct pairs every task gets all lists of items and scores its users one by one, so neither pairs of items nor
+    pairs of user and item are ever shuffled. More pairs are joined by shuffle, with the same result.
+    """
+    lists = cut(train.groupBy(user).agg(F.array_sort(F.collect_set(item)).alias("_seen")))
+    if (lists.agg(F.sum(F.size("_seen"))).first()[0] or 0) > MAX_SENT:
+        return _top_similar_joined(lists.select(user, F.explode("_seen").alias(item)), user, item, k)
+    sent = lists.sparkSession.sparkContext.broadcast(_packed(lists, user))
+    kinds = (lists.schema[user], lists.schema["_seen"].dataType.elementType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _Scorer.of(sent)
+        for batch in batches:
+            users, rows = batch.column(0), [score.top(x, k, known) for x, known in zip(_places(batch.column(1), score.items), batch.column(0).is_valid().to_pylist(), strict=True)]
+            lengths = np.array([len(r) for r in rows], np.int64)
+            ranks = np.concatenate([np.arange(1, n + 1) for n in lengths] or [np.zeros(0)]).astype(np.int32)
+            found = score.items.take(pa.array(np.concatenate([*rows, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([users.take(pa.array(np.repeat(np.arange(len(rows)), lengths))), found, pa.array(ranks)], names=[user, item, "rank"])
+
+    return lists.select(user, "_seen").mapInArrow(run, StructType([StructField(user, kinds[0].dataType), StructField(item, kinds[1]), StructField("rank", IntegerType())]))
+
+
+def _top_similar_joined(seen: DataFrame, user: str, item: str, k: int) -> DataFrame:
+    """As top_similar, of distinct pairs, by joins on the similarity of items."""
+    scored = seen.join(item_similarity(seen, user, item), item).groupBy(user, F.col("other").alias(item)).agg(F.round(F.sum("sim"), 9).alias("score"))
     unseen = scored.join(seen, [user, item], "left_anti")
     return unseen.withColumn("rank", F.row_number().over(Window.partitionBy(user).orderBy(F.desc("score"), item))).where(F.col("rank") <= k).select(user, item, "rank")
 
 
+def _places(lists: pa.Array, items: pa.Array) -> list[np.ndarray]:
+    """Per list the places of its values in the sorted items."""
+    at = pc.index_in(lists.flatten(), value_set=items).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.split(at, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))[:-1]) if len(lists) else []
+
+
+def _packed(lists: DataFrame, user: str) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted different items; the lists of all users behind one another as places in these, with the start of each; whether each user is known."""
+    got = lists.select("_seen", F.col(user).isNotNull().alias("known")).toArrow()
+    seen, known = got["_seen"].combine_chunks(), got["known"].to_numpy().astype(bool)
+    seen = seen.combine_chunks() if isinstance(seen, pa.ChunkedArray) else seen
+    flat = seen.flatten()
+    items = flat.unique()
+    items = items.take(pc.sort_indices(items))
+    at = pc.index_in(flat, value_set=items).to_numpy(zero_copy_only=False).astype(np.int32)
+    return items, at, np.concatenate([[0], np.cumsum(pc.list_value_length(seen).to_numpy(zero_copy_only=False))]).astype(np.int64), known
+
+
+def _spans(values: np.ndarray, start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the given spans behind one another, and the length of each span."""
+    n = start[which + 1] - start[which]
+    return values[np.repeat(start[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+
+
+class _Scorer:
+    """Sums of similarity by the lists of all users: over the users who share an item, the root of its users' number, then their items."""
+
+    last: tuple[tuple, _Scorer] | None = None
+
+    def __init__(self, items: pa.Array, lists: np.ndarray, start: np.ndarray, known: np.ndarray) -> None:
+        self.items, self.lists, self.start = items, lists, start
+        owners = np.repeat(np.arange(len(start) - 1, dtype=np.int32), np.diff(start))
+        self.root = 1 / np.sqrt(np.maximum(1, np.bincount(lists, minlength=len(items))).astype(np.float64))
+        met = known[owners]  # an unknown user shares items with none
+        by_item = np.argsort(lists[met], kind="stable")
+        self.users = owners[met][by_item]
+        self.users_start = np.concatenate([[0], np.cumsum(np.bincount(lists[met], minlength=len(items)))]).astype(np.int64)
+        self.sums, self.mark = np.zeros(len(items)), np.zeros(len(items), np.int64)
+
+    @classmethod
+    def of(cls, sent: Broadcast) -> _Scorer:
+        """That of a broadcast value, kept between the tasks of a worker."""
+        if cls.last is None or cls.last[0] is not sent.value:
+            cls.last = (sent.value, cls(*sent.value))
+        return cls.last[1]
+
+    def top(self, seen: np.ndarray, k: int, known: bool) -> np.ndarray:
+        """The places of the k best items for a user with these, the best first."""
+        users, n = _spans(self.users, self.users_start, seen)
+        others, m = _spans(self.lists, self.start, users)
+        np.add.at(self.sums, others, np.repeat(np.repeat(self.root[seen], n), m))
+        self.mark[others] = np.arange(len(others))
+        found = others[self.mark[others] == np.arange(len(others))].astype(np.int64)  # each item once
+        if known:
+            self.mark[seen] = -1
+            found = found[self.mark[found] >= 0]
+        else:  # nobody's own list: an item of theirs counts by the others alone
+            own = np.zeros(len(self.items))
+            own[seen] = self.root[seen] * np.diff(self.users_start)[seen]
+            self.sums -= own
+            found = found[self.sums[found] > 1e-12]
+        scores = np.round(self.sums[found] * self.root[found], 9)
+        self.sums[others] = 0
+        if not known:
+            self.sums[seen] = 0
+        if len(found) > k:
+            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            found, scores = found[scores >= least], scores[scores >= least]
+        return found[np.lexsort((found, -scores))][:k]
+
+
 def ranking_metrics(ranked: DataFrame, truth: DataFrame, user: str, item: str, ks: Sequence[int] = (10, 20)) -> DataFrame:
     """One row: recall_<k> (hits over the lesser of truth and k), ndcg and hit rate at the first k, over all users with truth."""
     t = truth.select(user, item).distinct()

@@ -14,7 +14,7 @@ from millrace.operators import recommend as M
 from millrace.operators import rules as U
 from millrace.operators import simulate as S
 from millrace.plans.registry import Registry
-from millrace.session import shared_dir, table
+from millrace.session import cut, shared_dir, table
 from millrace.sources import readers, sinks
 
 R = Registry()
@@ -70,9 +70,11 @@ def kcore(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct pairs of train, and those of test that train has not; kept by the user's lists, so the log is sorted once."""
     rows = K.temporal_split(_positives(spark, root), "user", ["at", "l_orderkey", "l_linenumber", "item"])
-    train = rows.where("split = 'train'").select("user", "item").distinct()
-    return train, rows.where("split = 'test'").select("user", "item").distinct().join(train, ["user", "item"], "left_anti")
+    each = rows.groupBy("user").agg(*[F.collect_set(F.when(F.col("split") == s, F.col("item"))).alias(s) for s in ("train", "test")])
+    lists = cut(each.select("user", "train", F.array_except("test", "train").alias("test")))
+    return tuple(lists.select("user", F.explode(s).alias("item")) for s in ("train", "test"))
 
 
 _LOG = "WITH r AS (SELECT o_custkey AS u, l_partkey AS i, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, l_orderkey, l_linenumber, l_partkey) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey), sp AS (SELECT u, i, rn > n - least(greatest(1, CAST(round_even(n * 0.2, 0) AS BIGINT)), n - 1) AS test FROM r), tr AS (SELECT DISTINCT u, i FROM sp WHERE NOT test), te AS (SELECT DISTINCT u, i FROM sp WHERE test EXCEPT SELECT u, i FROM tr)"

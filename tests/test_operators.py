@@ -229,6 +229,30 @@ def test_recommend(spark):
     assert m["recall_10"] == 0.5 and math.isclose(m["ndcg_10"], 0.5 / math.log2(3)) and m["hit_10"] == 0.5
 
 
+def test_similar_items_without_shuffled_pairs(spark, rows, monkeypatch):
+    """Items are scored within tasks, as by joins of pairs and as by hand, unknown users and items included."""
+    import random
+
+    r = random.Random(5)
+    pairs = [(u if u else None, r.choice([None, *range(25)])) for u in range(30) for _ in range(r.randrange(1, 12))]
+    df = spark.createDataFrame(pairs, "u int, i long")
+    out = M.top_similar(df, "u", "i", 5)
+    plan = out._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    got = rows(out)
+    monkeypatch.setattr(M, "MAX_SENT", 0)
+    assert rows(M.top_similar(df, "u", "i", 5)) == got
+    seen = {(u, i) for u, i in pairs if i is not None}
+    n = {i: sum(j == i for _, j in seen) for _, i in seen}
+    sim = {(i, j): sum((v, j) in seen for v, x in seen if x == i and v is not None) / math.sqrt(n[i] * n[j]) for i in n for j in n if i != j}
+    want = []
+    for u in {u for u, _ in seen}:
+        own = {i for v, i in seen if v == u}
+        scores = {j: round(sum(sim[i, j] for i in own if i != j), 9) for j in n if u is None or j not in own}
+        want += [(u, j, k) for k, j in enumerate(sorted((j for j in scores if scores[j]), key=lambda j: (-scores[j], j))[:5], 1)]
+    assert sorted(got, key=str) == sorted(want, key=str) and M.top_similar(df.limit(0), "u", "i", 5).count() == 0
+
+
 def test_relational(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k int, v string")
     assert rows(L.exclude(df, spark.createDataFrame([(1,), (None,)], "x int"), "k")) == [(None, "c"), (2, None)]
