@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import FloatType, IntegerType, LongType, StructField, StructType
 
-from millrace.session import cut
+from millrace.session import cut, shared_dir
 
 #: Lists of items are sent to all tasks up to so many pairs of user and item in all (four bytes each).
 MAX_SENT = 32_000_000
@@ -190,12 +190,84 @@ def ranking_metrics(ranked: DataFrame, truth: DataFrame, user: str, item: str, k
     return per.agg(F.count("*").alias("n_users"), *out, F.avg(F.coalesce("_dcg", F.lit(0.0)) / ideal).alias(f"ndcg_{first}"), F.avg((F.coalesce(F.col(f"_h{first}"), F.lit(0)) > 0).cast("double")).alias(f"hit_{first}"))
 
 
-def als_factors(train: DataFrame, user: str, item: str, *, rank: int = 16, rounds: int = 5, seed: int = 42):
-    """Matrix factorization of implicit feedback by alternating least squares, on dense integer ids."""
+def als_factors(train: DataFrame, user: str, item: str, *, rank: int = 16, rounds: int = 5, seed: int = 42, blocks: int = 6, distinct: bool = False):
+    """Matrix factorization of implicit feedback by alternating least squares, on dense integer ids.
+
+    Every factor goes to each of up to blocks blocks in every round, so few blocks keep the shuffles small. distinct: each pair is there once.
+    """
     from pyspark.ml.recommendation import ALS
 
-    counts = train.groupBy(user, item).agg(F.count("*").cast("float").alias("_c"))
-    return ALS(rank=rank, maxIter=rounds, implicitPrefs=True, userCol=user, itemCol=item, ratingCol="_c", seed=seed).fit(counts)
+    shared_dir(train.sparkSession)  # with checkpoints the shuffle files of a round are removed when it ends
+    counts = train.select(user, item, F.lit(1.0).cast("float").alias("_c")) if distinct else train.groupBy(user, item).agg(F.count("*").cast("float").alias("_c"))
+    return ALS(rank=rank, maxIter=rounds, implicitPrefs=True, userCol=user, itemCol=item, ratingCol="_c", seed=seed, checkpointInterval=1, numUserBlocks=blocks, numItemBlocks=blocks).fit(counts)
+
+
+def top_by_factors(model, train: DataFrame, user: str, item: str, k: int) -> DataFrame:
+    """user, item, score, rank: the k items of the greatest product of factors that the user has not seen (ties: the smaller item).
+
+    Item factors of up to MAX_SENT numbers go to all tasks, which score blocks of users; none of the products is shuffled. Items come
+    by falling norm, so a user is done when no later one can reach their last score. Larger factors are left to the model's own
+    top lists, with as many more items as the user with the most has seen.
+    """
+    lists = train.groupBy(user).agg(F.array_sort(F.collect_set(item)).alias("_seen"))
+    if model.itemFactors.count() * model.rank > MAX_SENT:
+        most = lists.agg(F.max(F.size("_seen"))).first()[0] or 0
+        found = model.recommendForAllUsers(k + most).select(user, F.explode("recommendations").alias("r")).select(F.col(user).cast(train.schema[user].dataType), F.col(f"r.{item}").cast(train.schema[item].dataType).alias(item), F.col("r.rating").alias("score"))
+        ranked = found.join(train, [user, item], "left_anti").withColumn("rank", F.row_number().over(Window.partitionBy(user).orderBy(F.desc("score"), item)))
+        return ranked.where(F.col("rank") <= k).select(user, item, "score", "rank")
+    got = model.itemFactors.select("id", "features").toArrow()
+    ids = got["id"].to_numpy().astype(np.int64)
+    factors = got["features"].combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(ids), -1)
+    order = np.lexsort((ids, -np.linalg.norm(factors, axis=1)))
+    sent = train.sparkSession.sparkContext.broadcast((ids[order], factors[order]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, factors = sent.value
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                own = batch.column(1).flatten().to_numpy().reshape(len(batch), -1)
+                places = _places(batch.column(2), pa.array(ids))
+                rows = _best(own, factors, ids, places, k)
+                n = [len(r[0]) for r in rows]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n))), pa.array(np.concatenate([r[0] for r in rows]), pa.int64()), pa.array(np.concatenate([r[1] for r in rows]), pa.float32()), pa.array(np.concatenate([np.arange(1, x + 1) for x in n]), pa.int32())], names=[user, item, "score", "rank"])
+
+    own = model.userFactors.select(F.col("id").cast(train.schema[user].dataType).alias(user), "features").join(lists, user)
+    schema = StructType([StructField(user, train.schema[user].dataType), StructField(item, LongType()), StructField("score", FloatType()), StructField("rank", IntegerType())])
+    return own.mapInArrow(run, schema).withColumn(item, F.col(item).cast(train.schema[item].dataType))
+
+
+def _best(users: np.ndarray, factors: np.ndarray, ids: np.ndarray, seen: list[np.ndarray], k: int, step: int = 8192) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per user the ids and scores of the k best unseen items; factors by falling norm. A norm bounds a score but for rounding, which 1e-4 of it covers."""
+    norms, items = np.linalg.norm(users.astype(np.float64), axis=1) * (1 + 1e-4), np.linalg.norm(factors.astype(np.float64), axis=1)
+    kept = [(np.zeros(0, np.int64), np.zeros(0, np.float32)) for _ in users]
+    least, open_ = np.full(len(users), -np.inf), np.arange(len(users))
+    row = np.repeat(np.arange(len(users)), [len(x) for x in seen])
+    place = np.concatenate([*seen, np.zeros(0, np.int64)])
+    for at in range(0, len(factors), step):
+        open_ = open_[norms[open_] * items[at] >= least[open_]]
+        if not len(open_):
+            break
+        scores = users[open_] @ factors[at : at + step].T
+        where = np.full(len(users), -1)
+        where[open_] = np.arange(len(open_))
+        masked = (place >= at) & (place < at + step) & (where[row] >= 0)
+        scores[where[row[masked]], place[masked] - at] = -np.inf
+        # at first the k-th of the chunk bounds what can be among the best
+        bound = least[open_].astype(np.float32)
+        fresh = np.isneginf(bound)
+        if fresh.any() and scores.shape[1] > k:
+            bound[fresh] = np.partition(scores[fresh], scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        r, c = np.nonzero((scores >= bound[:, None]) & (scores > -np.inf))
+        edges = np.searchsorted(r, np.arange(len(open_) + 1))
+        for i in np.nonzero(np.diff(edges))[0]:
+            cols, u = c[edges[i] : edges[i + 1]], open_[i]
+            found, got = np.concatenate([kept[u][0], ids[at + cols]]), np.concatenate([kept[u][1], scores[i, cols]])
+            top = np.lexsort((found, -got))[:k]
+            kept[u] = found[top], got[top]
+            if len(top) == k:
+                least[u] = got[top[-1]]
+    return kept
 
 
 def incompatible(log: DataFrame, user_class: str, item_class: str, allowed: Mapping[str, Sequence[str]]) -> DataFrame:

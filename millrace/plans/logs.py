@@ -101,11 +101,8 @@ def itemknn_eval(spark: SparkSession, root: str) -> DataFrame:
 def als_eval(spark: SparkSession, root: str) -> DataFrame:
     """Ranking metrics of matrix factorization, seen items masked."""
     train, test = _split(spark, root)
-    model = M.als_factors(train.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item")), "user", "item")
-    most = train.groupBy("user").count().agg(F.max("count")).first()[0] or 0
-    recs = model.recommendForAllUsers(20 + most).select("user", F.posexplode("recommendations").alias("pos", "r")).select(F.col("user").cast("bigint").alias("user"), F.col("r.item").cast("bigint").alias("item"), F.col("r.rating").alias("score"))
-    unseen = recs.join(train, ["user", "item"], "left_anti")
-    return _rounded(M.ranking_metrics(K.top_k(unseen, ["user"], [F.desc("score"), F.col("item")], 20), test, "user", "item"))
+    model = M.als_factors(train.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item")), "user", "item", distinct=True)
+    return _rounded(M.ranking_metrics(M.top_by_factors(model, train, "user", "item", 20), test, "user", "item"))
 
 
 @R.query("train_test_leakage", f"{_LOG} SELECT count(*) AS n FROM (SELECT DISTINCT u, i FROM sp WHERE test INTERSECT SELECT u, i FROM tr)")

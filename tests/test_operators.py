@@ -253,6 +253,33 @@ def test_similar_items_without_shuffled_pairs(spark, rows, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str) and M.top_similar(df.limit(0), "u", "i", 5).count() == 0
 
 
+def test_best_items_by_factors(spark, rows, monkeypatch):
+    """The unseen items of the greatest product within tasks, as by the model's own top lists and as by hand over all products."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(7)
+    pairs = sorted({(u, r.randrange(40)) for u in range(30) for _ in range(12)})
+    df = spark.createDataFrame(pairs, "u int, i int")
+    model = M.als_factors(df, "u", "i", rank=4, rounds=2, distinct=True)
+    out = M.top_by_factors(model, df, "u", "i", 5)
+    assert out.columns == ["u", "i", "score", "rank"] and out.count() == 150
+    got = rows(out.select("u", "rank", "i"))
+    monkeypatch.setattr(M, "MAX_SENT", 0)
+    assert rows(M.top_by_factors(model, df, "u", "i", 5).select("u", "rank", "i")) == got
+    g = np.random.default_rng(1)
+    users, items = g.normal(size=(9, 4)).astype(np.float32), g.integers(-2, 3, (300, 4)).astype(np.float32)
+    users[0] = 0  # ties everywhere: the smaller ids
+    order = np.argsort(-np.linalg.norm(items, axis=1), kind="stable")
+    seen = [g.choice(300, 20, replace=False) for _ in users]
+    for step in (7, 64, 8192):
+        for u, (ids, scores) in enumerate(M._best(users, items[order], order, seen, 6, step)):
+            all_ = (users[u : u + 1] @ items[order].T)[0]
+            want = sorted((x for x in range(300) if x not in set(seen[u])), key=lambda x: (-all_[x], order[x]))[:6]
+            assert list(ids) == [order[x] for x in want] or np.allclose(scores, all_[want], atol=1e-5) and u
+
+
 def test_relational(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k int, v string")
     assert rows(L.exclude(df, spark.createDataFrame([(1,), (None,)], "x int"), "k")) == [(None, "c"), (2, None)]
