@@ -96,3 +96,14 @@ def test_characters_are_counted_over_whole_texts_and_all_languages(spark):
     assert "ǖ" in alphabet and "ꙭ" in alphabet and "a" not in alphabet
     dictionaries, empty = corpus_dictionaries(spark.createDataFrame([], "id int, t string, lang string"), ["t"], "lang")
     assert dictionaries == {} and empty == {}
+
+
+def test_dictionaries_come_of_all_texts(spark, monkeypatch):
+    """Every word of more than one place counts, however many texts there are, and garbled texts do not."""
+    from millrace.llm import encoding
+
+    monkeypatch.setattr(encoding, "SAMPLE", 5)
+    rows = [(i, f"pâte word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} salt", "fr") for i in range(300)] * 2 + [(9, "cr\u00c3\u00a8me garbled", "fr")] * 2 + [(7, "crème", "fr")] * 2 + [(5, "\u6c34" * 40, "ja")]
+    dictionaries, _ = corpus_dictionaries(spark.createDataFrame(rows, "id int, t string, lang string"), ["t"], "lang")
+    words = dictionaries["fr"].decode().split()
+    assert {w for _, t, _ in rows[:300] for w in t.split()} | {"crème"} == set(words) and set(words[-2:]) == {"salt", "pâte"} and dictionaries["ja"].decode() == "\u6c34\u6c34\u6c34 "
