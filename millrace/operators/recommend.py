@@ -190,16 +190,16 @@ def ranking_metrics(ranked: DataFrame, truth: DataFrame, user: str, item: str, k
     return per.agg(F.count("*").alias("n_users"), *out, F.avg(F.coalesce("_dcg", F.lit(0.0)) / ideal).alias(f"ndcg_{first}"), F.avg((F.coalesce(F.col(f"_h{first}"), F.lit(0)) > 0).cast("double")).alias(f"hit_{first}"))
 
 
-def als_factors(train: DataFrame, user: str, item: str, *, rank: int = 16, rounds: int = 5, seed: int = 42, blocks: int = 6, distinct: bool = False):
+def als_factors(train: DataFrame, user: str, item: str, *, rank: int = 16, rounds: int = 5, seed: int = 42, distinct: bool = False):
     """Matrix factorization of implicit feedback by alternating least squares, on dense integer ids.
 
-    Every factor goes to each of up to blocks blocks in every round, so few blocks keep the shuffles small. distinct: each pair is there once.
+    distinct: each pair is there once.
     """
     from pyspark.ml.recommendation import ALS
 
     shared_dir(train.sparkSession)  # with checkpoints the shuffle files of a round are removed when it ends
     counts = train.select(user, item, F.lit(1.0).cast("float").alias("_c")) if distinct else train.groupBy(user, item).agg(F.count("*").cast("float").alias("_c"))
-    return ALS(rank=rank, maxIter=rounds, implicitPrefs=True, userCol=user, itemCol=item, ratingCol="_c", seed=seed, checkpointInterval=1, numUserBlocks=blocks, numItemBlocks=blocks).fit(counts)
+    return ALS(rank=rank, maxIter=rounds, implicitPrefs=True, userCol=user, itemCol=item, ratingCol="_c", seed=seed, checkpointInterval=1).fit(counts)
 
 
 def top_by_factors(model, train: DataFrame, user: str, item: str, k: int) -> DataFrame:
